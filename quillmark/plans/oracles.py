@@ -390,7 +390,7 @@ def bigram_ctes(source: str) -> str:
         return f"""
         p{r} AS (SELECT s.doc_id, s.sentence_index,
               CASE WHEN any_value(w.n) = 0 THEN 0::DOUBLE
-                   WHEN count(lp) = 0 THEN 1::DOUBLE ELSE exp(-sum(lp) / count(lp)) END AS v
+                   WHEN count(lp) = 0 THEN 1::DOUBLE ELSE exp(-sum(lp)::DOUBLE / (count(lp) * 1000000.0::DOUBLE)) END AS v
             FROM sent s
             JOIN (SELECT doc_id, sentence_index, sum(len({words('sentence')})) OVER {frame(r)} AS n FROM sent) w
               USING (doc_id, sentence_index)
@@ -409,11 +409,11 @@ def bigram_ctes(source: str) -> str:
     ctx AS (SELECT a, sum(n) AS n FROM bi GROUP BY a),
     voc AS (SELECT count(*) AS v FROM (SELECT a FROM bi UNION SELECT b FROM bi)),
     logs AS (SELECT p.doc_id, p.i, p.j,
-                    ln(bi.n + 0.1::DOUBLE) - ln(ctx.n + 0.1::DOUBLE * voc.v) AS lp
+                    CAST(round(1000000.0::DOUBLE * (ln(bi.n + 0.1::DOUBLE) - ln(ctx.n + 0.1::DOUBLE * voc.v))) AS BIGINT) AS lp
              FROM pairs p JOIN bi USING (a, b) JOIN ctx USING (a) CROSS JOIN voc),
     {value(0)}, {value(1)}, {value(2)},
-    ppl AS (SELECT p0.doc_id, p0.sentence_index, round(p0.v, 6) AS window_1_perplexity,
-                   round(p1.v, 6) AS window_3_perplexity, round(p2.v, 6) AS window_5_perplexity
+    ppl AS (SELECT p0.doc_id, p0.sentence_index, round(p0.v, 4) AS window_1_perplexity,
+                   round(p1.v, 4) AS window_3_perplexity, round(p2.v, 4) AS window_5_perplexity
             FROM p0 JOIN p1 USING (doc_id, sentence_index) JOIN p2 USING (doc_id, sentence_index))"""
 
 

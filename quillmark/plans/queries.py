@@ -230,14 +230,14 @@ def q_text_features(spark, sf):
 
 def q_bigram_perplexity(spark, sf):
     docs = _documents(spark, sf)
-    return rounded(lm.window_perplexity(docs, lm.train_bigrams(docs)))
+    return rounded(lm.window_perplexity(docs, lm.train_bigrams(docs)), 4)
 
 
 def q_assemble_features(spark, sf):
     turns = _conversations(spark, sf)
     left = window_features(turns, groups=("lexical", "sentence_length"))
     right = lm.window_perplexity(turns, lm.train_bigrams(turns))
-    return rounded(assemble_features(left, right))
+    return assemble_features(rounded(left), rounded(right, 4))
 
 
 def q_feature_matrix(spark, sf):
@@ -476,7 +476,7 @@ def q_stream_batches(spark, sf):
     model = lm.train_bigrams(_documents(spark, sf))
     stream = file_stream(spark, source, schema)
     stream_batches(stream, lambda rows: lm.window_perplexity(rows, model), out, check).awaitTermination()
-    return rounded(spark.read.parquet(out).drop("batch"))
+    return rounded(spark.read.parquet(out).drop("batch"), 4)
 
 
 # --- models ---------------------------------------------------------------
