@@ -97,15 +97,23 @@ def roc_auc(
     group) are added up in order. Ties count one half. The arithmetic is in
     whole numbers: twice the number of won pairs.
     """
-    amount = "decimal(18,0)"
     per_score = (
         df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
         .groupBy(*by, F.col(score).cast("double").alias("_score"))
         .agg(
-            _count(F.col(label) == 1).cast(amount).alias("_pos"),
-            _count(F.col(label) == 0).cast(amount).alias("_neg"),
+            _count(F.col(label) == 1).alias("_pos"),
+            _count(F.col(label) == 0).alias("_neg"),
         )
     )
+    return _auc(per_score, by)
+
+
+def _auc(per_score: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """AUC from rows (by, _score, _pos, _neg) with distinct scores per group."""
+    amount = "decimal(18,0)"
+    per_score = per_score.select(
+        *by, "_score", F.col("_pos").cast(amount).alias("_pos"), F.col("_neg").cast(amount).alias("_neg")
+    )
     in_range = F.least(F.greatest(F.col("_score"), F.lit(0.0)), F.lit(1.0))
     per_score = per_score.withColumn("_bin", F.floor(in_range * AUC_BINS))
     below = W.partitionBy(*by, "_bin").orderBy("_score").rowsBetween(W.unboundedPreceding, -1)
@@ -208,15 +216,34 @@ def evaluate_models(
     """
     has_language = language in df.columns
     keep = (label, language) if has_language else (label,)
-    tall = stack_scores(df, models, keep).withColumn("_pred", decide(F.col("score"), threshold))
-    by = ("model", F.col(language).alias("language")) if has_language else ("model",)
-    counted = tall.groupBy(*by).agg(*_as_columns(_outcomes(F.col(label), F.col("_pred"))))
-    overall = counted.groupBy("model").agg(*_summed()).withColumn("language", F.lit("all"))
-    counted = counted.unionByName(overall) if has_language else overall
-    metrics = counted.select(
+    tall = stack_scores(df, models, keep)
+    by = ["model", language] if has_language else ["model"]
+    # Both results come from the same counts, so the rows are read and
+    # shuffled once.
+    counts = tall.groupBy(*by, F.col("score").alias("_score")).agg(
+        _count(F.col(label) == 1).alias("_pos"), _count(F.col(label) == 0).alias("_neg")
+    )
+    said = F.coalesce(decide(F.col("_score"), threshold) == 1, F.lit(False))
+    sums = {
+        "tp": F.sum(F.when(said, F.col("_pos"))),
+        "fp": F.sum(F.when(said, F.col("_neg"))),
+        "fn": F.sum(F.when(~said, F.col("_pos"))),
+        "tn": F.sum(F.when(~said, F.col("_neg"))),
+    }
+    sums = [F.coalesce(v, F.lit(0)).alias(k) for k, v in sums.items()]
+    found = counts.groupBy(*by).agg(*sums)
+    overall = found.groupBy("model").agg(*_summed()).withColumn("language", F.lit("all"))
+    if has_language:
+        overall = found.withColumnRenamed(language, "language").unionByName(overall)
+    metrics = overall.select(
         "model", "language", *OUTCOMES, *_as_columns(_scores(*[F.col(c) for c in OUTCOMES]))
     )
-    auc = roc_auc(tall, label, "score", ("model",)).withColumn("language", F.lit("all"))
+    distinct = (
+        counts.filter(F.col("_score").isNotNull())
+        .groupBy("model", "_score")
+        .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    )
+    auc = _auc(distinct, ("model",)).withColumn("language", F.lit("all"))
     return metrics.join(auc, ["model", "language"], "left")
 
 

@@ -20,7 +20,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a few large file splits over the cluster before heavy work.
 
     Text work is CPU bound, so an input read as fewer tasks than cores is
-    hashed out by key. An input that already has enough splits is left as it
+    hashed out by key (evenly without one). An input that already has enough splits is left as it
     is, because moving whole texts would cost more than it gains.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -461,7 +461,8 @@ def _document_files(spark, sf):
 def q_stream_features(spark, sf):
     source, schema = _document_files(spark, sf)
     out, check = new_folder(spark, "stream"), new_folder(spark, "stream-check")
-    stream = file_stream(spark, source, schema)
+    cores = spark.sparkContext.defaultParallelism
+    stream = file_stream(spark, source, schema, partitions=4 * cores)
 
     def transform(rows: DataFrame) -> DataFrame:
         return window_features(rows, groups=("lexical", "punctuation"), with_language_id=False)
@@ -474,7 +475,8 @@ def q_stream_batches(spark, sf):
     source, schema = _document_files(spark, sf)
     out, check = new_folder(spark, "batches"), new_folder(spark, "batches-check")
     model = lm.train_bigrams(_documents(spark, sf))
-    stream = file_stream(spark, source, schema)
+    cores = spark.sparkContext.defaultParallelism
+    stream = file_stream(spark, source, schema, partitions=4 * cores)
     stream_batches(stream, lambda rows: lm.window_perplexity(rows, model), out, check).awaitTermination()
     return rounded(spark.read.parquet(out).drop("batch"), 4)
 
