@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 SALTS = 4096
 
 
+def _present(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def hot_keys(rows: DataFrame, keys: list[str], most: int = 1000) -> DataFrame:
     """The ``most`` commonest keys, counted with map-side combine.
 
     Every key holding more than ``1/most`` of the rows is among them, and the
     result never has more than ``most`` rows, so it is safe to broadcast.
     """
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    counts = rows.filter(present).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = rows.filter(_present(keys)).groupBy(*keys).agg(F.count("*").alias("_n"))
     return counts.orderBy(F.desc("_n"), *keys).limit(most).select(*keys)
 
 
@@ -28,35 +31,36 @@ def balanced_lookup(
     value: str,
     hot: DataFrame,
     spread_by: list[str],
-    needed: Column | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Left join ``value`` from ``table``, which has unique keys.
+    """Left join ``value`` from ``table``, which has unique text keys.
 
-    Hot keys are answered by a broadcast of at most ``hot`` rows. They, rows
-    with a null key and rows not ``needed`` then travel under a salt instead of
-    their key, so no shuffle partition collects them. Nothing is dropped.
+    Hot keys are answered by a broadcast of at most ``hot`` rows. They and rows
+    with a null key then travel under a made-up key, so that no shuffle
+    partition collects them. Nothing is dropped. The made-up key replaces the
+    first key column itself: a separate constant salt column would be folded
+    into a filter and leave the shuffle unsalted.
     """
+    keep = keep or rows.columns
     answers = hot.join(table.join(F.broadcast(hot), keys, "left_semi"), keys, "left").select(
         *keys, F.col(value).alias("_hot_value"), F.lit(True).alias("_hot")
     )
     tagged = rows.join(F.broadcast(answers), keys, "left")
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    cold = F.col("_hot").isNull() & present
-    if needed is not None:
-        cold = cold & needed
-    salt = F.lit(1) + F.pmod(F.xxhash64(*spread_by), F.lit(SALTS))
+    cold = F.col("_hot").isNull() & _present(keys)
+    salt = F.concat(
+        F.lit("\x00"), F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("string")
+    )
     tagged = tagged.select(
-        *rows.columns,
+        *keep,
         "_hot_value",
-        F.when(cold, F.lit(0).cast("bigint")).otherwise(salt).alias("_salt"),
-        *[F.when(cold, F.col(k)).alias(f"_cold_{k}") for k in keys],
+        cold.alias("_is_cold"),
+        F.when(cold, F.col(keys[0])).otherwise(salt).alias("_key_0"),
+        *[F.when(cold, F.col(k)).alias(f"_key_{i}") for i, k in enumerate(keys) if i],
     )
     lookup = table.select(
-        F.lit(0).cast("bigint").alias("_salt"),
-        *[F.col(k).alias(f"_cold_{k}") for k in keys],
+        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)],
         F.col(value).alias("_cold_value"),
     )
-    joined = tagged.join(lookup, ["_salt", *[f"_cold_{k}" for k in keys]], "left")
-    return joined.select(
-        *rows.columns, F.coalesce("_hot_value", "_cold_value").alias(value)
-    )
+    joined = tagged.join(lookup, [f"_key_{i}" for i in range(len(keys))], "left")
+    found = F.when(F.col("_is_cold"), F.col("_cold_value")).otherwise(F.col("_hot_value"))
+    return joined.select(*keep, found.alias(value))
