@@ -87,6 +87,13 @@ class FeatureSettings:
     perplexity: bool = True
     predictions: bool = True
     lm_smoothing: float = 0.1
+    # Where the expert scores of training rows come from: "out_of_fold" models
+    # never saw the document, "in_sample" uses the final experts on all rows.
+    expert_scores: str = "out_of_fold"
+
+    def __post_init__(self):
+        if self.expert_scores not in ("out_of_fold", "in_sample"):
+            raise ValueError(f"unknown expert_scores {self.expert_scores!r}")
 
 
 @dataclass(frozen=True)

@@ -11,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.config import EXPERTS, Settings
+from quillmark.config import EXPERT_COLUMNS, EXPERTS, Settings
 from quillmark.operators import corpus, experts, lm, meta, metrics, sampling
 from quillmark.operators.windows import (
     assemble_features,
@@ -145,6 +145,11 @@ class PipelineRun:
             experts.save_experts({name: found}, f"{self.path}/experts")
             write_json(self.spark, found.metrics, f"{self.path}/expert_metrics/{name}")
             self.manifest.mark(f"expert_{name}")
+        if self.settings.feature.expert_scores == "out_of_fold":
+            scored = experts.score_out_of_fold(
+                train, settings=self.settings.expert, seed=self.settings.seed
+            )
+            self._write(scored.select(*KEYS, *EXPERT_COLUMNS), "out_of_fold")
 
     def _bigrams(self) -> lm.BigramModel | None:
         s = self.settings
@@ -198,6 +203,15 @@ class PipelineRun:
             docs, f"{self.path}/chunks", extract, chunks=s.feature.chunks
         )
         features = done.join(chosen, KEYS)
+        if s.feature.predictions and s.feature.expert_scores == "out_of_fold":
+            unseen = self.table("out_of_fold")
+            unseen = unseen.select(*KEYS, *[F.col(c).alias(f"_{c}") for c in EXPERT_COLUMNS])
+            features = features.join(unseen, KEYS, "left").select(
+                *[
+                    F.coalesce(f"_{c}", c).alias(c) if c in EXPERT_COLUMNS else F.col(c)
+                    for c in features.columns
+                ]
+            )
         train = features.filter("part = 'train'").drop("part")
         self._write(
             sampling.meta_split(train, KEYS, s.meta.validation, s.seed), "meta_rows", ("split",)

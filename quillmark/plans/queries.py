@@ -568,9 +568,8 @@ def _pipeline(spark, sf):
     from quillmark.config import FeatureSettings, Settings
     from quillmark.plans.pipeline import run_pipeline
 
-    settings = Settings(
-        expert=EXPERT, meta=META, feature=FeatureSettings(sample_from_train=SAMPLE)
-    )
+    wanted = FeatureSettings(sample_from_train=SAMPLE, expert_scores="in_sample")
+    settings = Settings(expert=EXPERT, meta=META, feature=wanted)
     return run_pipeline(_labelled(spark, sf), new_folder(spark, "run"), settings)
 
 

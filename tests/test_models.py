@@ -8,6 +8,7 @@ from quillmark.config import (
     FeatureSettings,
     MetaSettings,
     Settings,
+    SplitSettings,
 )
 from quillmark.operators import meta
 from quillmark.operators.experts import score_out_of_fold
@@ -73,6 +74,22 @@ def test_detection_of_new_texts(run, spark):
     assert all(r.prob_ai_mean <= r.prob_ai_max for r in verdicts)
 
 
+def test_training_rows_get_out_of_fold_scores(run):
+    keys = ["doc_id", "sentence_index"]
+    held_out = run.table("out_of_fold").withColumnRenamed("prob_ai_s1", "unseen")
+    rows = run.table("meta_rows").join(held_out.select(*keys, "unseen"), keys)
+    assert rows.count() > 0 and rows.filter("unseen <> prob_ai_s1").count() == 0
+
+
+def test_sentence_level_split(corpus, spark, tmp_path):
+    settings = Settings(split=SplitSettings(level="sentence"))
+    other = PipelineRun(spark, str(tmp_path / "out"), settings)
+    other._prepare(corpus)
+    rows = other.table("sentences")
+    assert rows.count() == other.table("unsplit").count()
+    assert {r.split for r in rows.select("split").distinct().collect()} == {"train", "val", "test"}
+
+
 def test_out_of_fold_scores(spark, corpus):
     rows = context_windows(corpus)
     scored = score_out_of_fold(rows, settings=SETTINGS.expert)
