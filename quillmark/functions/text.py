@@ -20,6 +20,7 @@ HTML_TAGS = (
 # Unicode white space, spelled out because engines disagree about \s.
 SPACE = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
+# What each cleaning step matches.
 TAG_PATTERN = rf"</?(?:{'|'.join(HTML_TAGS)})(?:{SPACE}[^>]*)?>|<!--.*?-->"
 IMAGE_PATTERN = r"!\[.*?\]\(.*?\)"
 LINK_PATTERN = r"\[([^\]]+)\]\((.*?)\)"

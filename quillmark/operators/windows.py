@@ -16,17 +16,23 @@ def window_name(radius: int) -> str:
     return f"window_{2 * radius + 1}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(
+    df: DataFrame, *keys: str, per_core: int = 4, like: DataFrame | None = None
+) -> DataFrame:
     """Spread a few large file splits over the cluster before heavy work.
 
-    Text work is CPU bound, so an input read as fewer tasks than cores is
-    hashed out by key (evenly without one). An input that already has enough splits is left as it
-    is, because moving whole texts would cost more than it gains.
+    Text work is CPU bound, so an input read as few tasks is hashed out by key
+    (evenly without one). An input that already has enough splits is left as it
+    is, because moving whole texts would cost more than it gains. After a join,
+    pass the scan it started from as ``like``: its splits can be counted
+    without running the join, and a small input that the planner chose to
+    broadcast is spread again.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= 2 * cores:
+    source = df if like is None else like
+    if df.isStreaming or 2 * source.rdd.getNumPartitions() >= per_core * cores:
         return df
-    return df.repartition(4 * cores, *keys)
+    return df.repartition(per_core * cores, *keys)
 
 
 def clean_documents(df: DataFrame, text: str = "text", language: bool = True) -> DataFrame:

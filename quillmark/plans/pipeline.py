@@ -108,12 +108,12 @@ class PipelineRun:
             F.col(s.key).alias("doc_id"), F.col(s.text).alias("text"), F.col(s.label).alias("label")
         )
         corpus.check_labels(docs)
-        docs = self._write(docs, "input")
+        scan = docs = self._write(docs, "input")
         by_document = s.split.level == "doc"
         if by_document:
             ends = sampling.split_rows(docs.select("doc_id", "label"), ["doc_id"], s.split)
             docs = docs.join(ends.select("doc_id", "split"), "doc_id")
-        docs = self._write(spread(docs, "doc_id"), "documents")
+        docs = self._write(spread(docs, "doc_id", like=scan), "documents")
         rows = sentence_table(
             spread(docs, "doc_id"),
             radii=s.window.radii,
@@ -191,7 +191,9 @@ class PipelineRun:
         docs = self.table("documents").select(
             F.col("doc_id").cast("string").alias("doc_id"), "text", "label"
         )
+        scan = docs
         docs = docs.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+        docs = spread(docs, "doc_id", like=scan)
         maker = Detector(s, experts.load_experts(f"{self.path}/experts"), None, self._bigrams())
 
         def extract(work: DataFrame) -> DataFrame:

@@ -51,8 +51,12 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return _table(spark, sf, "documents").select("doc_id", "text")
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return spread(_texts(spark, sf), "doc_id")
 
 
 def _labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,7 +64,15 @@ def _labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus.attach_labels(_documents(spark, sf), _labels(spark, sf))
+    texts = _texts(spark, sf)
+    return spread(corpus.attach_labels(texts, _labels(spark, sf)), "doc_id", like=texts)
+
+
+def _labelled_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled documents with their split."""
+    texts = _texts(spark, sf)
+    labels = sampling.split_rows(_labels(spark, sf), ["doc_id"])
+    return spread(texts.join(labels, "doc_id"), "doc_id", like=texts)
 
 
 def _conversations(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,8 +298,7 @@ def q_random_split(spark, sf):
 
 
 def _grouped(spark, sf) -> DataFrame:
-    labels = sampling.split_rows(_labels(spark, sf), ["doc_id"])
-    docs = _documents(spark, sf).join(labels, "doc_id")
+    docs = _labelled_splits(spark, sf)
     rows = context_windows(docs, radii=(0,), language=False)
     return rows.select(*KEYS, "label", "split")
 
@@ -486,8 +497,7 @@ def q_stream_batches(spark, sf):
 
 def _model_rows(spark, sf) -> DataFrame:
     """Stored labelled sentence windows with a document-level split."""
-    labels = sampling.split_rows(_labels(spark, sf), ["doc_id"])
-    docs = _documents(spark, sf).join(labels, "doc_id")
+    docs = _labelled_splits(spark, sf)
     return stage(context_windows(docs), "windows", partition_by=("split",))
 
 
@@ -522,8 +532,7 @@ def q_expert_scores_oof(spark, sf):
 
 def _meta_rows(spark, sf) -> DataFrame:
     """Stored features of labelled sentences with simple expert scores."""
-    labels = sampling.split_rows(_labels(spark, sf), ["doc_id"])
-    docs = _documents(spark, sf).join(labels, "doc_id")
+    docs = _labelled_splits(spark, sf)
     rows = window_features(docs)
     for name, window in (("s1", "window_1"), ("s3", "window_3"), ("s5", "window_5")):
         length = F.col(f"{window}_avg_sentence_length")
