@@ -14,13 +14,15 @@ from quillmark.config import (
     SplitSettings,
 )
 from quillmark.functions import text as T
-from quillmark.functions.language import detect_language, language_id
+from quillmark.functions.features import WindowCounts, punctuation, sentence_stats
+from quillmark.functions.language import language_id
 from quillmark.operators import corpus, experts, lm, meta, metrics, sampling
 from quillmark.operators.batches import apply_batches
 from quillmark.operators.windows import (
     assemble_features,
     clean_documents,
     context_windows,
+    covered,
     neighbour_rows,
     sentence_table,
     spread,
@@ -215,9 +217,6 @@ def _feature_query(group: str) -> Query:
 
 
 def q_punctuation(spark, sf):
-    from quillmark.functions.features import WindowCounts, punctuation, sentence_stats
-    from quillmark.operators.windows import covered
-
     rows = neighbour_rows(
         clean_documents(_documents(spark, sf), language=False),
         0,
@@ -448,8 +447,8 @@ def q_gather_chunks(spark, sf):
 
 
 def q_completed_phases(spark, sf):
-    """A source counts as a phase; it is complete once all its documents are
-    labelled."""
+    """A source counts as a phase; it is complete once two fifths of its
+    documents are labelled."""
     docs = _table(spark, sf, "documents").select("doc_id", "source")
     phases = (
         docs.join(_labels(spark, sf), "doc_id", "left")

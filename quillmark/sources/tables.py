@@ -124,7 +124,7 @@ def load_split(spark: SparkSession, path: str, split: str = "train") -> DataFram
     """One split of a ``split=`` partitioned table, else its first by name.
 
     Partition values come from the folder names, so finding the first split
-    reads no data.
+    reads no column.
     """
     df = require_columns(spark.read.parquet(path), "split")
     names = df.select("split").distinct()
