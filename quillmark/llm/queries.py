@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import packing, warc
+from quillmark.llm import packing, piece_table, warc
 from quillmark.llm.common import read
 
 
@@ -12,8 +12,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_table.encode_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": warc.op2_warc,
+    "op8_sentencepiece": op8_sentencepiece,
 }
 ORACLES = {"op2_warc": warc.ORACLE}
