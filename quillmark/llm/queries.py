@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import packing, piece_table, secret_scan, simhash, warc
+from quillmark.llm import minhash, packing, piece_table, secret_scan, simhash, warc
 from quillmark.llm.common import read
 
 
@@ -19,6 +19,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_warc": warc.op2_warc,
+    "op3_minhash": minhash.op3_minhash,
     "op4_fingerprints": simhash.op4_fingerprints,
     "op7_secrets": secret_scan.op7_secrets,
     "op8_sentencepiece": op8_sentencepiece,
