@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import minhash, packing, piece_table, quality, secret_scan, simhash, toxicity, warc
+from quillmark.llm import html_extract, minhash, packing, piece_table, quality, secret_scan, simhash, toxicity, warc
 from quillmark.llm.common import read
 
 
@@ -25,5 +25,6 @@ QUERIES = {
     "op7_secrets": secret_scan.op7_secrets,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": quality.op9_quality,
+    "op10_html": html_extract.op10_html,
 }
 ORACLES = {"op2_warc": warc.ORACLE}
