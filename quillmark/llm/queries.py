@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import html_extract, minhash, packing, piece_table, quality, secret_scan, simhash, toxicity, warc
+from quillmark.llm import html_extract, minhash, nn_descent, packing, piece_table, quality, secret_scan, simhash, toxicity, warc
 from quillmark.llm.common import read
 
 
@@ -21,6 +21,7 @@ QUERIES = {
     "op2_warc": warc.op2_warc,
     "op3_minhash": minhash.op3_minhash,
     "op4_fingerprints": simhash.op4_fingerprints,
+    "op5_nn_descent": nn_descent.op5_nn_descent,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_secrets": secret_scan.op7_secrets,
     "op8_sentencepiece": op8_sentencepiece,
