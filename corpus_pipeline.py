@@ -1,4 +1,12 @@
-"""A corpus job in stages, each one of the operators of quillmark.llm."""
+"""A corpus job in five stages, each one of the operators of quillmark.llm.
+
+Quality and toxicity drop the documents they reject, near-dedup keeps one document of
+each group, secret scans mask what they find, and packing lays the token sequences of
+what is left out. Every stage but the last returns the columns of its input.
+
+Null texts count as empty, rows without an id are never linked with others, and an empty
+input passes through every stage.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +14,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillmark.llm import minhash, packing, quality, secret_scan, toxicity
 from quillmark.llm.common import read, stage
 
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the line field rates at least 0.7."""
+    return quality.kept(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+
+
+def harmless_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is below 0.7."""
+    return toxicity.kept(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the least id.
+
+    Only ids of documents that go meet the texts. Of rows that repeat an id one stays.
+    """
+    groups = stage(minhash.near_duplicates(docs), "groups")
+    gone = groups.where("NOT kept").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if not repeated.isEmpty():
+        named = named.dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL"))
+
+
+def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with every secret replaced by a mask."""
+    return secret_scan.redact(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequence and place."""
+    return packing.pack_documents(docs)
+
+
 Stage = tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]
 
-STAGES: list[Stage] = []
+STAGES: list[Stage] = [
+    ("quality", good_documents),
+    ("toxicity", harmless_documents),
+    ("near_duplicates", distinct_documents),
+    ("secrets", masked_documents),
+    ("packing", packed_sequences),
+]
 #: Trained classifiers and packing are not SQL; tests compare with a brute-force run.
 ORACLE_SQL = None
 
