@@ -54,6 +54,14 @@ def check_labels(df: DataFrame, label: str = "label") -> None:
         raise ValueError(f"labels must be 0 or 1, found: {[r['label'] for r in bad]}")
 
 
+def check_unique(df: DataFrame, key: str) -> None:
+    """Raise unless every row has a key of its own. Only keys are shuffled."""
+    twice = df.groupBy(key).agg(F.count("*").alias("n")).filter(f"n > 1 OR {key} IS NULL")
+    bad = twice.orderBy(key).limit(20).collect()
+    if bad:
+        raise ValueError(f"column {key!r} must be unique and not null, found: {[r[key] for r in bad]}")
+
+
 def corpus_counts(sentences: DataFrame, split: str = "split") -> DataFrame:
     """Texts and sentences per split, and over everything (split ``all``).
 

@@ -13,7 +13,6 @@ from quillmark.functions import text as T
 from quillmark.functions.language import NON_LETTERS
 from quillmark.functions.lexicons import AUXILIARIES, PRONOUNS, STOPWORDS, by_language
 from quillmark.plans.queries import CHUNKS, SAMPLE, TOP
-from quillmark.sources.synthetic import FILLERS, PATTERNS
 
 RADII = (0, 1, 2)
 
@@ -422,15 +421,6 @@ def pick(choices: tuple[str, ...], salt: str) -> str:
     return f"([{options}])[{row_hash(['doc_id'], 42, salt)} % {len(choices)} + 1]"
 
 
-def synth_sql() -> str:
-    text = f"CASE WHEN doc_id % 2 = 0 THEN {pick(PATTERNS[1], 'pattern')} ELSE {pick(PATTERNS[0], 'pattern')} END"
-    for name, choices in FILLERS.items():
-        text = f"replace({text}, {lit('{' + name + '}')}, {pick(choices, name)})"
-    return (
-        f"SELECT doc_id, {text} AS text, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS label FROM documents"
-    )
-
-
 def class_report_sql() -> str:
     def row(name: str, tp: str, fp: str, fn: str) -> str:
         return (
@@ -537,7 +527,6 @@ def oracle_sql() -> dict[str, str]:
         "load_corpus": "SELECT doc_id, text, CAST(length(text) AS INTEGER) AS n_chars FROM documents",
         "load_split": f"SELECT * FROM {split_sql(LABEL_ROWS, ['doc_id'], True, 'doc_id, label')} WHERE split = 'train'",
         "label_domain": "SELECT quality AS label, count(*) AS n, coalesce(quality IN (0, 1), FALSE) AS valid FROM labels GROUP BY quality",
-        "synth_corpus": synth_sql(),
         "strip_html": f"SELECT page_id, {strip_html('html')} AS text FROM pages",
         "clean_text": f"SELECT doc_id, {clean('text')} AS text FROM documents",
         "detect_language": f"WITH cleaned AS (SELECT doc_id, {clean('text')} AS clean FROM documents), {language_ctes()} SELECT doc_id, language FROM langs",

@@ -7,6 +7,8 @@ what an earlier one wrote.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,9 +81,21 @@ class Detector:
         )
 
 
+def fingerprint(documents: DataFrame, settings: Settings) -> str:
+    """A digest of the settings and of the input's rows, whatever their order."""
+    s = settings
+    rows = documents.select(s.key, s.text, s.label)
+    row = rows.agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).alias("h")
+    ).first()
+    content = f"{row.n}|{row.h}|{rows.schema.simpleString()}|{sorted(s.to_dict().items())}"
+    return hashlib.sha256(content.encode()).hexdigest()
+
+
 class PipelineRun:
     def __init__(self, spark: SparkSession, path: str, settings: Settings):
         self.spark, self.path, self.settings = spark, path.rstrip("/"), settings
+        self.resume = True
         self.manifest = Manifest(spark, f"{self.path}/manifest")
 
     def table(self, name: str) -> DataFrame:
@@ -91,7 +105,17 @@ class PipelineRun:
         return stage(df, name, f"{self.path}/{name}", partition_by)
 
     def run(self, documents: DataFrame | None, resume: bool = True) -> "PipelineRun":
-        done = self.manifest.completed() if resume else []
+        """Run every phase that is not complete.
+
+        Phases count for the same settings and input alone; without ``resume``, or when
+        either has changed, everything below the folder is made anew.
+        """
+        if documents is not None:
+            self.manifest.fingerprint = fingerprint(documents, self.settings)
+            if not resume:
+                self.manifest.clear()
+        done = self.manifest.completed()
+        self.resume = bool(done)
         for phase in PHASES:
             if phase in done:
                 continue
@@ -108,12 +132,12 @@ class PipelineRun:
             F.col(s.key).alias("doc_id"), F.col(s.text).alias("text"), F.col(s.label).alias("label")
         )
         corpus.check_labels(docs)
-        scan = docs = self._write(docs, "input")
+        corpus.check_unique(docs, "doc_id")
         by_document = s.split.level == "doc"
         if by_document:
-            ends = sampling.split_rows(docs.select("doc_id", "label"), ["doc_id"], s.split)
-            docs = docs.join(ends.select("doc_id", "split"), "doc_id")
-        docs = self._write(spread(docs, "doc_id", like=scan), "documents")
+            # Thresholds on hashes of the key: the texts stay where they are.
+            docs = sampling.split_rows(docs, ["doc_id"], s.split)
+        docs = self._write(docs, "documents")
         rows = sentence_table(
             spread(docs, "doc_id"),
             radii=s.window.radii,
@@ -126,9 +150,7 @@ class PipelineRun:
             self._write(rows, "sentences", ("split",))
             return
         rows = self._write(rows, "unsplit")
-        split = sampling.split_rows(rows.select(*KEYS, "label"), KEYS, s.split)
-        joined = rows.join(split.select(*KEYS, "split"), KEYS)
-        self._write(joined, "sentences", ("split",))
+        self._write(sampling.split_rows(rows, KEYS, s.split), "sentences", ("split",))
 
     def _part(self, table: DataFrame, split: str) -> DataFrame:
         return table.filter(F.col("split") == split)
@@ -202,8 +224,12 @@ class PipelineRun:
 
         # Chunks make the run restartable; the key anti-join heals any gap.
         done = process_remaining(
-            docs, f"{self.path}/chunks", extract, chunks=s.feature.chunks
+            docs, f"{self.path}/chunks", extract, chunks=s.feature.chunks, resume=self.resume
         )
+        # Every chosen row must have been measured; none may get lost unseen.
+        missing = chosen.join(done.select(*KEYS), KEYS, "left_anti").count()
+        if missing:
+            raise RuntimeError(f"{missing} chosen rows have no features in {self.path}/chunks")
         features = done.join(chosen, KEYS)
         if s.feature.predictions and s.feature.expert_scores == "out_of_fold":
             unseen = self.table("out_of_fold")

@@ -31,7 +31,6 @@ from quillmark.operators.windows import (
 )
 from quillmark.plans import incremental
 from quillmark.sources.staging import new_folder, stage
-from quillmark.sources.synthetic import synthetic_corpus
 from quillmark.sources.tables import load_corpus, load_split, write_table
 from quillmark.streaming.features import file_stream, stream_batches, stream_features
 
@@ -145,10 +144,6 @@ def q_label_domain(spark, sf):
     return corpus.label_domain(_labels(spark, sf))
 
 
-def q_synth_corpus(spark, sf):
-    return synthetic_corpus(_table(spark, sf, "documents").select("doc_id"), "doc_id")
-
-
 # --- text -----------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from quillmark.operators import meta
 from quillmark.operators.experts import score_out_of_fold
 from quillmark.operators.windows import context_windows
 from quillmark.plans.pipeline import PHASES, PipelineRun, run_pipeline
-from quillmark.sources.synthetic import synthetic_corpus
+from tests.corpora import letters
 
 SETTINGS = Settings(
     expert=ExpertSettings(num_features=1 << 10, max_iter=5, reg_params=(0.01, 0.1), folds=2),
@@ -25,7 +25,7 @@ SETTINGS = Settings(
 
 @pytest.fixture(scope="module")
 def corpus(spark):
-    return synthetic_corpus(spark.range(120)).withColumnRenamed("id", "doc_id")
+    return letters(spark, 120)
 
 
 @pytest.fixture(scope="module")
@@ -111,3 +111,33 @@ def test_draws_are_seeded_and_in_range():
 
 def test_settings_round_trip():
     assert Settings.from_dict(SETTINGS.to_dict()) == SETTINGS
+
+
+def test_changed_texts_or_settings_start_over(spark, tmp_path):
+    first = letters(spark, 60)
+    changed = first.withColumn("text", F.concat("text", F.lit(" One more sentence stands here.")))
+    keys = lambda run: sorted(map(tuple, run.table("test_rows").select("doc_id", "sentence_index", "window_1_ari").collect()))
+    fresh = keys(run_pipeline(changed, str(tmp_path / "fresh"), SETTINGS))
+    # A folder that holds another run, finished with other texts.
+    path = str(tmp_path / "used")
+    before = keys(run_pipeline(first, path, SETTINGS))
+    assert before != fresh
+    assert keys(run_pipeline(changed, path, SETTINGS)) == fresh
+
+
+def test_repeated_keys_are_refused(spark, tmp_path):
+    docs = letters(spark, 20)
+    with pytest.raises(ValueError, match="unique"):
+        run_pipeline(docs.unionByName(docs.limit(1)), str(tmp_path / "x"), SETTINGS)
+
+
+def test_texts_are_not_joined_while_preparing(spark, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(PipelineRun, "_write", lambda self, df, name, partition_by=(): plans.append(df) or df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        PipelineRun(spark, str(tmp_path / "p"), SETTINGS)._prepare(letters(spark, 20))
+        for df in plans:
+            assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from quillmark.operators.batches import apply_batches
 from quillmark.operators.corpus import conversation_corpus
-from quillmark.sources.synthetic import FILLERS, PATTERNS, synthetic_corpus
 from quillmark.sources.tables import (
     load_corpus,
     load_split,
@@ -68,23 +67,6 @@ def test_json_values(spark, tmp_path):
     assert read_json(spark, str(tmp_path / "v")) == value
 
 
-def test_synthetic_corpus(spark):
-    rows = synthetic_corpus(spark.range(1000).repartition(7)).collect()
-    assert sum(r.label for r in rows) == 500
-    assert all(r.label == (r.id % 2 == 0) and "{" not in r.text for r in rows)
-    possible = {
-        p.format(topic=t, reason=r, additional=a)
-        for ps in PATTERNS.values()
-        for p in ps
-        for t in FILLERS["topic"]
-        for r in FILLERS["reason"]
-        for a in FILLERS["additional"]
-    }
-    assert {r.text for r in rows} <= possible
-    again = synthetic_corpus(spark.range(1000).coalesce(1)).collect()
-    assert sorted(rows) == sorted(again)
-
-
 def test_conversations(spark):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, "assistant", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
