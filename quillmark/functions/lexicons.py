@@ -58,9 +58,11 @@ PRONOUNS = {
 }
 
 # Written without the final stop; compared with the case shown.
-ABBREVIATIONS = """Mr Mrs Ms Dr Prof Sr Jr St vs etc Inc Ltd Co No Fig approx
-    Hr Fr Nr bzw ca usw vgl Abb
-    M MM Mme Mlle Sra Srta Dra Ud Uds pág Exmo Exma"""
+ABBREVIATIONS = """Mr Mrs Ms Dr Prof Sr Jr St vs etc Inc Ltd Co
+    Hr Fr bzw usw vgl
+    M MM Mme Mlle Sra Srta Dra Ud Uds Exmo Exma"""
+# These end no sentence only in front of a number: "No. 5", but "No. I disagree."
+NUMBERED = "No Nr Fig Abb pág approx ca"
 
 
 def words(text: str) -> list[str]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillmark.functions.lexicons import ABBREVIATIONS, words
+from quillmark.functions.lexicons import ABBREVIATIONS, NUMBERED, words
 
 # The closed list of tags that cleaning removes; other tags stay.
 HTML_TAGS = (
@@ -33,6 +33,7 @@ SPACES_PATTERN = rf"{SPACE}+"
 # Cleaned text holds no line break, so "\n" can mark the cut.
 CUT_PATTERN = r"""([.!?]+["')\]”’»]*) """
 UNCUT_PATTERN = rf"(^|[ \n(])({'|'.join(words(ABBREVIATIONS))})\.\n"
+UNCUT_NUMBER_PATTERN = rf"(^|[ \n(])({'|'.join(words(NUMBERED))})\.\n([0-9])"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -73,6 +74,7 @@ def split_sentences(clean: Column, max_sentences: int | None = None) -> Column:
     # Two rounds, because neighbouring abbreviations share their separator.
     for _ in range(2):
         cut = F.regexp_replace(cut, F.lit(UNCUT_PATTERN), F.lit("$1$2. "))
+    cut = F.regexp_replace(cut, F.lit(UNCUT_NUMBER_PATTERN), F.lit("$1$2. $3"))
     sentences = F.split(cut, "\n")
     return sentences if max_sentences is None else F.slice(sentences, 1, max_sentences)
 

@@ -46,6 +46,7 @@ def cut(expr: str) -> str:
     out = gsub(expr, T.CUT_PATTERN, "\\1\n")
     for _ in range(2):
         out = gsub(out, T.UNCUT_PATTERN, r"\1\2. ")
+    out = gsub(out, T.UNCUT_NUMBER_PATTERN, r"\1\2. \3")
     return f"string_split({out}, chr(10))"
 
 
@@ -545,7 +546,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT doc_id, sentence_index, round", "SELECT doc_id, sentence_index, (SELECT language FROM langs l WHERE l.doc_id = meas.doc_id) AS language, round"
         ),
         "punctuation": punctuation_sql(),
-        "window_features": features_sql(LABELLED, ("label",)),
+        "window_features": features_sql(DOCS, ()),
+        "feature_table": f"""SELECT f.*, p.* EXCLUDE (doc_id, sentence_index) FROM ({features_sql(DOCS, ())}) f
+            JOIN (WITH {bigram_ctes(DOCS)} SELECT * FROM ppl) p USING (doc_id, sentence_index)""",
         "text_features": features_sql(TURNS, ("label",)),
         "bigram_perplexity": f"WITH {bigram_ctes(DOCS)} SELECT * FROM ppl",
         "assemble_features": f"""WITH {bigram_ctes(TURNS)}, {language_ctes()}, {windows_cte()},

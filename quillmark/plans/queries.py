@@ -224,7 +224,14 @@ def q_punctuation(spark, sf):
 
 
 def q_window_features(spark, sf):
-    return rounded(window_features(_labelled(spark, sf)))
+    return rounded(window_features(_documents(spark, sf)))
+
+
+def q_feature_table(spark, sf):
+    """Every feature that needs no trained classifier, of all documents, side by side."""
+    docs = _documents(spark, sf)
+    perplexity = lm.window_perplexity(docs, lm.train_bigrams(docs))
+    return assemble_features(rounded(window_features(docs)), rounded(perplexity, 4))
 
 
 def q_text_features(spark, sf):

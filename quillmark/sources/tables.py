@@ -21,6 +21,10 @@ FORMATS = {
 }
 
 
+#: Tasks that read an Arrow folder at most; more files share tasks.
+MAX_TASKS = 10_000
+
+
 def format_of(path: str) -> str:
     for ending, name in FORMATS.items():
         if path.rstrip("/").endswith(ending):
@@ -57,10 +61,11 @@ def _open(path: str):
 
 
 def read_arrow(spark: SparkSession, path: str) -> DataFrame:
-    """Read Arrow IPC files, one task per file, batch by batch.
+    """Read Arrow IPC files, about one file per task, batch by batch.
 
     Spark lists the files without reading them. The driver only opens the
-    first one, for its schema.
+    first one, for its schema. The number of tasks is given outright, because
+    adaptive execution would merge partitions that hold nothing but paths.
     """
     import pyarrow as pa
     from pyspark.sql.pandas.types import from_arrow_schema
@@ -88,7 +93,8 @@ def read_arrow(spark: SparkSession, path: str) -> DataFrame:
                     for rows in found:
                         yield rows.select(names)
 
-    return files.repartition("path").mapInArrow(load, schema)
+    tasks = min(files.count(), MAX_TASKS)
+    return files.repartitionByRange(tasks, "path").mapInArrow(load, schema)
 
 
 def read_table(

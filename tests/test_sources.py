@@ -7,6 +7,7 @@ from quillmark.operators.corpus import conversation_corpus
 from quillmark.sources.tables import (
     load_corpus,
     load_split,
+    read_arrow,
     read_json,
     read_table,
     write_json,
@@ -28,6 +29,16 @@ def test_formats(spark, tmp_path, fmt):
     assert sorted((r.text, r.label) for r in got.collect()) == sorted(ROWS)
 
 
+def test_arrow_files_are_read_by_as_many_tasks(spark, tmp_path):
+    for i in range(12):
+        table = pa.table({"text": [f"t{i}"], "label": [i]})
+        with pa.ipc.new_file(str(tmp_path / f"d-{i:05d}.arrow"), table.schema) as writer:
+            writer.write_table(table)
+    rows = read_arrow(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.label for r in rows) == list(range(12))
+    assert len({r.task for r in rows}) == 12
+
+
 @pytest.mark.parametrize("kind", ["file", "stream"])
 def test_arrow_folder(spark, tmp_path, kind):
     folder = tmp_path / "set.arrow"

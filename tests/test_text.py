@@ -63,6 +63,10 @@ def test_known_tags_go_and_others_stay(spark):
         ("no stop at all", ["no stop at all"]),
         ("", [""]),
         ("3.14 is pi. ok", ["3.14 is pi.", "ok"]),
+        ("Are you sure? No. I disagree.", ["Are you sure?", "No.", "I disagree."]),
+        ("No. Quiero ir.", ["No.", "Quiero ir."]),
+        ("See No. 5 and Fig. 12 now. Yes.", ["See No. 5 and Fig. 12 now.", "Yes."]),
+        ("Es war ca. 30 Jahre. Nr. 7 fehlt.", ["Es war ca. 30 Jahre.", "Nr. 7 fehlt."]),
     ],
 )
 def test_sentences(spark, text, expected):
