@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from quillmark.config import EXPERT_COLUMNS
 
 AUC_BINS = 1_000_000
+#: Log odds beyond this share the outermost bins.
+LOG_ODDS = 40.0
 OUTCOMES = ("tp", "fp", "fn", "tn")
 
 
@@ -108,14 +110,25 @@ def roc_auc(
     return _auc(per_score, by)
 
 
+def auc_bin(score: Column) -> Column:
+    """A bin that never falls as the score rises.
+
+    Classifiers crowd their scores near 0 and 1; log odds spread them over the bins.
+    """
+    in_range = F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0))
+    odds = F.when(in_range == 0, -LOG_ODDS).when(in_range == 1, LOG_ODDS)
+    odds = odds.otherwise(F.ln(in_range / (1 - in_range)))
+    place = F.least(F.greatest(odds, F.lit(-LOG_ODDS)), F.lit(LOG_ODDS)) / (2 * LOG_ODDS) + 0.5
+    return F.floor(place * AUC_BINS)
+
+
 def _auc(per_score: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """AUC from rows (by, _score, _pos, _neg) with distinct scores per group."""
     amount = "decimal(18,0)"
     per_score = per_score.select(
         *by, "_score", F.col("_pos").cast(amount).alias("_pos"), F.col("_neg").cast(amount).alias("_neg")
     )
-    in_range = F.least(F.greatest(F.col("_score"), F.lit(0.0)), F.lit(1.0))
-    per_score = per_score.withColumn("_bin", F.floor(in_range * AUC_BINS))
+    per_score = per_score.withColumn("_bin", auc_bin(F.col("_score")))
     below = W.partitionBy(*by, "_bin").orderBy("_score").rowsBetween(W.unboundedPreceding, -1)
     zero = F.lit(0).cast(amount)
     per_bin = (
@@ -238,10 +251,11 @@ def evaluate_models(
     metrics = overall.select(
         "model", "language", *OUTCOMES, *_as_columns(_scores(*[F.col(c) for c in OUTCOMES]))
     )
-    distinct = (
-        counts.filter(F.col("_score").isNotNull())
-        .groupBy("model", "_score")
-        .agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    # Null scores count nothing here. A filter would be pushed below the counts, which
+    # would then be made twice.
+    known = F.col("_score").isNotNull().cast("bigint")
+    distinct = counts.groupBy("model", "_score").agg(
+        F.sum(F.col("_pos") * known).alias("_pos"), F.sum(F.col("_neg") * known).alias("_neg")
     )
     auc = _auc(distinct, ("model",)).withColumn("language", F.lit("all"))
     return metrics.join(auc, ["model", "language"], "left")

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quillmark.operators import metrics
 from quillmark.operators.corpus import class_balance, corpus_counts
 from quillmark.operators.metrics import (
     class_report,
@@ -113,3 +114,24 @@ def test_counts_and_balance(spark):
     assert got == {"train": (1, 2), "test": (2, 2), "all": (2, 4)}
     shares = class_balance(spark.createDataFrame([(1,), (1,), (0,), (1,)], "label int")).collect()
     assert {r.label: r.share for r in shares} == {1: 0.75, 0: 0.25}
+
+
+def test_crowded_scores_use_many_bins(spark):
+    rows = spark.range(20_000).select(
+        (F.col("id") * 1e-12).alias("score"), (F.col("id") % 3 == 0).cast("int").alias("label")
+    )
+    bins = metrics.auc_bin(F.col("score"))
+    assert rows.select(bins.alias("b")).distinct().count() > 5000
+    positives = [i for i in range(20_000) if i % 3 == 0]
+    won = sum(i - k for k, i in enumerate(positives))
+    expected = won / (len(positives) * (20_000 - len(positives)))
+    assert metrics.roc_auc(rows).first().roc_auc == pytest.approx(expected, abs=1e-12)
+
+
+def test_rows_are_counted_once_for_metrics_and_auc(spark):
+    rows = spark.range(100).select((F.col("id") % 2).cast("int").alias("label"), (F.col("id") / 100).alias("a"))
+    got = metrics.evaluate_models(rows.withColumn("b", F.when(rows.a > 0.5, rows.a)), {"a": "a", "b": "b"})
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Generate ") + final.count("Generate(") <= 1 or "ReusedExchange" in final
