@@ -40,12 +40,14 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     for _ in range(rounds):
         large = _star(_both_ways(now), True)
         after = stage(_star(large, False), "edges")
-        # Done when every node hangs on a root that hangs on nothing.
-        roots = after.select(F.col("b").alias("a")).distinct()
-        more = after.join(roots, "a", "left_semi").limit(1).count()
-        many = after.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
+        # Done when every node hangs on one root, and no root hangs on anything.
+        ends = after.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
+            after.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("root"))
+        )
+        roles = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+        open_ = roles.where("up > 1 OR (up > 0 AND root > 0)").limit(1).count()
         now = after
-        if not more and not many:
+        if not open_:
             break
     else:
         raise RuntimeError("components did not settle")

@@ -10,7 +10,7 @@ Documents of equal sets are one node. In each bucket all nodes are first compare
 its least node. What is then still in different components of one bucket is compared by
 signature, in cells of a bounded size; first the likeliest pairs of each node are confirmed, then, among
 what is still apart, all pairs whose signatures agree in at least ``LIKELY`` of 128
-coordinates (at similarity 0.75 fewer agree with a chance below 1e-6). So components that
+coordinates (at similarity 0.75 fewer agree with a chance of about 2e-5). So components that
 have a link are joined, and no pairs inside a component are made.
 Candidates are confirmed exactly: 100 * intersection >= 75 * union.
 """
@@ -33,9 +33,9 @@ WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 CIRCLE = 1 << 20
-LIKELY = 72
+LIKELY = 76
 #: Nodes of a bucket that meet in one cell, about, and pairs of a node in the first pass.
-CELL, FIRST = 512, 3
+CELL, FIRST = 512, 1
 SIGNED = "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, coordinates binary"
 _CACHE = WordCache(lambda w: xxhash.xxh3_64_intdigest(w))
 
@@ -152,7 +152,8 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
 def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, first: int | None) -> DataFrame:
     """Distinct pairs (a, b) of nodes that share a bucket but no component, if likely similar.
 
-    With ``first``, only so many of the likeliest pairs of each node in a cell. Buckets are
+    With ``first``, only so many of the likeliest pairs in a cell of each node outside the
+    cell's largest component. Buckets are
     dealt in blocks, and each two blocks meet in a cell of their own, so no task holds a
     whole bucket. A pair is made in the first band that it shares, so only once.
     """
@@ -180,8 +181,11 @@ def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, first: int |
         node, component = list(rows["node"]), pd.factorize(rows["component"])[0]
         x = np.frombuffer(b"".join(rows["coordinates"]), np.int32).reshape(len(rows), -1)
         two = block.min() != block.max()
+        largest = np.bincount(component).argmax()
         out = []
         for k in range(len(rows)):
+            if first is not None and component[k] == largest:
+                continue
             apart = component != component[k]
             if two:
                 apart &= block != block[k]
