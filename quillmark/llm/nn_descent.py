@@ -8,15 +8,17 @@ hardly anything changes. A vector whose list is full of links is saturated: its
 then enlarged through the links of its links until nothing new is found, without a bound.
 Only links at or above the threshold in double precision are kept.
 
-Recall is audited: the vectors whose id is divisible by 100 (at most ``AUDIT``, by hash)
-are compared with all vectors in blocks, and if too few of their links were found, the
-graph is refined with more codes and more neighbours.
+Recall is audited: ``AUDIT`` vectors, chosen by hash, are compared with all vectors in
+blocks. The recall of each sampled vector counts once, and that of a group of linked ones
+once together, so that large groups do not hide lost pairs. While it is too low, the graph
+is refined with more codes and more neighbours; if that does not help, the run fails.
 
 Equal vectors are one node, so copies need no links among themselves.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +31,17 @@ from quillmark.llm.components import components
 
 THRESHOLD = 0.9
 K = 8
-CODES, BITS = 8, 14
+#: Orders of the first attempt, and sign bits beyond the logarithm of the number of nodes.
+CODES, SPARE = 8, 4
 ROUNDS = 4
 #: A round that improves a smaller share of all entries is the last.
 SETTLED = 0.02
-AUDIT = 512
+AUDIT = 4096
 RECALL = 0.98
+#: Attempts, each with twice the codes, before a run whose recall is too low fails.
+ATTEMPTS, MOST_K = 6, 32
+#: Rows of codes that one task orders, at least.
+ORDERED = 20_000
 #: Rows of neighbours that one task holds at a time in a round.
 CHUNK = 20_000
 
@@ -69,8 +76,16 @@ def unit_nodes(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", "embedding").mapInPandas(run, "vec_id bigint, node bigint, unit binary")
 
 
+def code_bits(n: int) -> int:
+    """Sign bits of a code, so that keys stay about as many as n nodes or more."""
+    return min(44, math.ceil(math.log2(max(2, n))) + SPARE)
+
+
 def codes(nodes: DataFrame, n_codes: int, bits: int, seed: int) -> DataFrame:
-    """(node, code, key): sign codes of random directions, drawn anew for each length of vector."""
+    """(node, code, key): sign codes of random directions, drawn anew for each length of vector.
+
+    Keys number the codes in Gray order, so neighbouring codes differ in one sign.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         planes: dict[int, np.ndarray] = {}
@@ -81,7 +96,8 @@ def codes(nodes: DataFrame, n_codes: int, bits: int, seed: int) -> DataFrame:
                     planes[d] = np.random.default_rng(seed * 1000 + d).standard_normal((d, n_codes * bits))
                 x = np.frombuffer(b"".join(part["unit"]), float).reshape(-1, d)
                 signs = (x @ planes[d] > 0).reshape(len(x), n_codes, bits)
-                keys = signs @ (1 << np.arange(bits)) + d * (1 << bits)
+                places = np.bitwise_xor.accumulate(signs, axis=2)
+                keys = places @ (1 << np.arange(bits)[::-1]) + d * (1 << bits)
                 yield pd.DataFrame(
                     {
                         "node": np.repeat(part["node"].to_numpy(), n_codes),
@@ -90,24 +106,31 @@ def codes(nodes: DataFrame, n_codes: int, bits: int, seed: int) -> DataFrame:
                     }
                 )
 
-    return nodes.mapInPandas(run, "node bigint, code int, key bigint")
+    return nodes.select("node", "unit").mapInPandas(run, "node bigint, code int, key bigint")
 
 
 def first_neighbours(nodes: DataFrame, n_codes: int, bits: int, seed: int) -> DataFrame:
-    """(a, b) pairs next to each other where nodes are ordered by code, key and a hash.
+    """(a, b) pairs next to each other where nodes are ordered by code, key and node.
 
-    The order is cut at every key, so a key's nodes are ordered in one window; a key that
-    holds very many nodes is salted into runs of a bounded expected size.
+    The order goes on across keys. It is dealt by ranges, so tasks are alike however many
+    nodes share a key; only the pairs at the borders of tasks are left to other codes.
     """
     found = codes(nodes, n_codes, bits, seed)
-    sizes = found.groupBy("code", "key").agg(F.count("*").alias("n")).where("n > 1")
-    salted = found.join(sizes, ["code", "key"]).withColumn(
-        "salt", F.pmod(F.xxhash64("node", F.lit(seed)), F.ceil(F.col("n") / 5000)).cast("long")
-    )
-    order = Window.partitionBy("code", "key", "salt").orderBy("node")
-    near = [F.lag("node", k).over(order).alias(f"b{k}") for k in (1, 2)]
-    rows = salted.select("node", *near)
-    return rows.select(F.col("node").alias("a"), F.explode(F.array("b1", "b2")).alias("b")).where("b IS NOT NULL")
+    most = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(1, min(most, nodes.count() * n_codes // ORDERED))
+    order = ["code", "key", "node"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch])
+            code, kind, node = rows["code"].to_numpy(), rows["key"].to_numpy() >> bits, rows["node"].to_numpy()
+            for k in (1, 2):
+                same = (code[k:] == code[:-k]) & (kind[k:] == kind[:-k])
+                yield pd.DataFrame({"a": node[k:][same], "b": node[:-k][same]})
+            held = rows.tail(2)
+
+    return found.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInPandas(run, "a bigint, b bigint")
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -212,14 +235,16 @@ def descend(nodes: DataFrame, k: int, n_codes: int, bits: int, rounds: int, seed
     return graph
 
 
-def enlarged(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float, rounds: int = 30) -> DataFrame:
+def enlarged(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float, rounds: int = 30, fresh: DataFrame | None = None) -> DataFrame:
     """All links (a < b, cosine) after following links of links from saturated nodes.
 
+    Links of ``fresh`` are followed first, all if it is not given.
+
     Only pairs met for the first time are compared, and a pair found in one round is
     followed in the next, from a saturated node on; so lists grow to their true length.
     """
     known = stage(links, "links")
-    tried, frontier = known.select("a", "b"), known
+    tried, frontier = known.select("a", "b"), known if fresh is None else fresh
     for _ in range(rounds):
         step = _both(frontier).join(saturated, "a", "left_semi")
         ahead = _both(known).withColumnsRenamed({"a": "m", "b": "c"})
@@ -240,11 +265,12 @@ def enlarged(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold
 
 
 def audit(links: DataFrame, nodes: DataFrame, threshold: float, n: int = AUDIT) -> float:
-    """Share of the true links of sampled nodes that were found; 1 if there are none.
+    """Mean share of the true links of sampled nodes that were found; 1 if there are none.
 
-    At most n sampled vectors travel to the tasks; every task compares its own rows.
+    Sampled nodes that link with one another count once, by their mean. At most n sampled
+    vectors travel to the tasks; every task counts the links of its own rows.
     """
-    asked = nodes.where("vec_id % 100 = 0").orderBy(F.xxhash64("node"), "node").limit(n).select("node", "unit").collect()
+    asked = nodes.orderBy(F.xxhash64("node"), "node").limit(n).select("node", "unit").collect()
     by_size: dict[int, list] = {}
     for r in asked:
         by_size.setdefault(len(r.unit), []).append(r)
@@ -254,18 +280,44 @@ def audit(links: DataFrame, nodes: DataFrame, threshold: float, n: int = AUDIT)
     }
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = {size: np.zeros(len(ids), np.int64) for size, (ids, _) in matrix.items()}
         for batch in batches:
             for size, part in batch.groupby(batch["unit"].map(len)):
                 if size in matrix:
-                    own = part["node"].to_numpy()
                     ids, x = matrix[size]
-                    hit, q = np.nonzero(np.frombuffer(b"".join(part["unit"])).reshape(len(own), -1) @ x.T >= threshold)
-                    yield pd.DataFrame({"a": np.minimum(own[hit], ids[q]), "b": np.maximum(own[hit], ids[q])})
-
-    true = nodes.select("node", "unit").mapInPandas(run, "a bigint, b bigint").where("a != b").distinct()
-    true = stage(true, "audit")
-    total = true.count()
-    return true.join(links.select("a", "b"), ["a", "b"], "left_semi").count() / total if total else 1.0
+                    for lo in range(0, len(part), 500):
+                        cut = part.iloc[lo : lo + 500]
+                        close = np.frombuffer(b"".join(cut["unit"])).reshape(len(cut), -1) @ x.T >= threshold
+                        close &= cut["node"].to_numpy()[:, None] != ids
+                        counts[size] += close.sum(axis=0)
+        for size, (ids, _) in matrix.items():
+            some = counts[size] > 0
+            yield pd.DataFrame({"a": ids[some], "n": counts[size][some]})
+
+    counted = nodes.select("node", "unit").mapInPandas(run, "a bigint, n bigint").groupBy("a").agg(F.sum("n").alias("n"))
+    true = {r.a: r.n for r in counted.collect()}
+    if not true:
+        return 1.0
+    sampled = F.broadcast(nodes.sparkSession.createDataFrame([(a,) for a in true], "a bigint"))
+    degrees = _both(links).join(sampled, "a", "left_semi").groupBy("a").agg(F.count("*").alias("n"))
+    found = {r.a: r.n for r in degrees.collect()}
+    means = []
+    for ids, x in matrix.values():
+        linked = np.array([a in true for a in ids.tolist()])
+        ids, x = ids[linked], x[linked]
+        share = np.array([min(1.0, found.get(a, 0) / true[a]) for a in ids.tolist()])
+        free = np.ones(len(ids), bool)
+        for i in range(len(ids)):
+            if not free[i]:
+                continue
+            free[i], group, ahead = False, [i], [i]
+            while ahead:
+                near = np.flatnonzero(free & (x @ x[ahead.pop()] >= threshold))
+                free[near] = False
+                group.extend(near)
+                ahead.extend(near)
+            means.append(share[group].mean())
+    return float(np.mean(means))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -279,17 +331,28 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         usable.groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"), F.first("unit").alias("unit")), "nodes"
     )
     k, n_codes, links = K, CODES, None
-    for attempt in range(3):
-        graph = descend(nodes, k, n_codes, BITS, ROUNDS, 11 + attempt)
+    bits = code_bits(nodes.count())
+    for attempt in range(ATTEMPTS):
+        graph = descend(nodes, k, n_codes, bits, ROUNDS, 11 + attempt)
         close = graph.where(F.col("cosine") >= threshold)
         saturated = stage(close.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= 2).select("a"), "saturated")
         found = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cosine")
+        fresh = None
         if links is not None:
+            # Links followed in an attempt before need not be followed again.
+            lists = saturated.join(followed, "a", "left_anti")
+            grown = _both(links).join(lists, "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            fresh = stage(found.dropDuplicates(["a", "b"]).join(links, ["a", "b"], "left_anti").unionByName(links.join(grown, ["a", "b"], "left_semi")), "fresh")
+            saturated = saturated.unionByName(followed).distinct()
             found = found.unionByName(links)
-        links = stage(enlarged(found.dropDuplicates(["a", "b"]), nodes, saturated, threshold), "links")
-        if audit(links, nodes, threshold) >= RECALL:
+        followed = stage(saturated, "saturated")
+        links = stage(enlarged(found.dropDuplicates(["a", "b"]), nodes, followed, threshold, fresh=fresh), "links")
+        recall = audit(links, nodes, threshold)
+        if recall >= RECALL:
             break
-        k, n_codes = 2 * k, 2 * n_codes
+        k, n_codes = min(MOST_K, 2 * k), 2 * n_codes
+    else:
+        raise RuntimeError(f"mean recall of sampled vectors stays at {recall:.3f}, below {RECALL}")
     copies = nodes.select(F.col("node").alias("b"), "n")
     ahead = _both(links).join(copies, "b").groupBy("a").agg(F.sum("n").alias("others"))
     labels = components(links)

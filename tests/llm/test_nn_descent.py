@@ -72,3 +72,43 @@ def test_audit_counts_what_is_missing(spark):
     nodes = nn_descent.unit_nodes(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
     none = spark.createDataFrame([], "a bigint, b bigint, cosine double")
     assert nn_descent.audit(none, nodes, 0.9) == 0.0
+
+
+def pairs_and_a_group(n_background, n_pairs=300, n_group=300, d=64):
+    chance = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    def near(x, low, high):
+        c = chance.uniform(low, high, (len(x), 1))
+        other = chance.normal(size=x.shape)
+        other = unit(other - (other * x).sum(axis=1, keepdims=True) * x)
+        return c * x + np.sqrt(1 - c * c) * other
+
+    first = unit(chance.normal(size=(n_pairs, d)))
+    centre = unit(chance.normal(size=(1, d)))
+    group = near(np.repeat(centre, n_group, axis=0), 0.97, 0.99)
+    return np.concatenate([first, near(first, 0.905, 0.93), group, unit(chance.normal(size=(n_background, d)))])
+
+
+def as_table(spark, x):
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+
+
+def test_isolated_pairs_are_found_beside_a_large_group(spark):
+    found = nn_descent.near_duplicates(as_table(spark, pairs_and_a_group(2000, n_group=60)))
+    linked = {r.vec_id for r in found.where("n_links > 0").collect()}
+    assert sum(i in linked and i + 300 in linked for i in range(300)) >= 294
+
+
+def test_a_large_group_does_not_hide_lost_pairs(spark):
+    x = pairs_and_a_group(200, n_pairs=50)
+    nodes = nn_descent.unit_nodes(as_table(spark, x)).cache()
+    by_id = {r.vec_id: r.node for r in nodes.collect()}
+    pairs = [sorted((by_id[i], by_id[j])) for i in range(100, 400) for j in range(i + 1, 400)]
+    links = spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "a bigint, b bigint, cosine double")
+    assert nn_descent.audit(links, nodes, 0.9) < 0.1
+
+
+def test_codes_grow_with_the_nodes():
+    assert [nn_descent.code_bits(n) - nn_descent.SPARE for n in (0, 2, 1 << 14, 1 << 20)] == [1, 1, 14, 20]
