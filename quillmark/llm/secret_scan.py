@@ -3,9 +3,8 @@
 Two first-order Markov models over ASCII characters, one of random strings and one of
 ordinary identifiers, score long tokens by the mean log-likelihood ratio of their
 character pairs. The random strings to learn from are the values that the patterns label;
-the ordinary ones are the other words of the same documents. Both come from a bounded
-sample of documents (``SAMPLE``, chosen by a hash of the id); only pair counts, at most
-128 x 128 for each model, reach the driver.
+the ordinary ones are the words of documents without matches. Both are counted over all
+documents; only pair counts, at most 128 x 128 for each model, reach the driver.
 
 Everything is column expressions. Positions count code points, ends are exclusive.
 """
@@ -26,8 +25,7 @@ HEX = "[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN_VALUE = 12
 
-#: Documents to learn from, and the least length of a token that the models judge.
-SAMPLE = 4000
+#: Tokens that the models judge.
 TOKEN = "[A-Za-z0-9+/_=-]{20,}"
 #: Share of ordinary tokens that may score above the threshold while learning.
 FALSE_RATE = 0.0005
@@ -70,17 +68,13 @@ def _pairs(token: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(token) - 1), lambda i: code(i) * 128 + code(i + 1))
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[float], float]:
+def train(docs: DataFrame) -> tuple[list[float], float]:
     """(log-likelihood ratio of each character pair, threshold of the mean ratio).
 
     Without random strings or without ordinary words nothing can be told apart; the
     threshold is then infinite and only the patterns count.
     """
-    spark = docs.sparkSession
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(sample).collect()
-    chosen = F.broadcast(spark.createDataFrame([(r.doc_id,) for r in chosen], "doc_id bigint"))
-    rows = texts(docs).join(chosen, "doc_id").withColumn("base", base_spans(F.col("text")))
+    rows = texts(docs).withColumn("base", base_spans(F.col("text")))
     # The value of an assignment follows the last separator or quote.
     value = F.regexp_extract(F.col("hit"), "([A-Za-z0-9+/_.=-]{12,})$", 1)
     random = rows.select(F.explode("base.hit").alias("hit")).select(F.lit(1).alias("y"), value.alias("token"))

@@ -86,3 +86,16 @@ def test_redaction_keeps_columns_and_text_around(spark):
 def test_no_python_on_the_main_path(spark):
     plan = secret_scan.find_secrets(edges.documents(spark), ([0.1] * 128 * 128, 0.5))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_rare_secrets_are_learned_from_all_documents(spark):
+    chance = __import__("random").Random(5)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = lambda: "".join(chance.choice(alphabet) for _ in range(32))
+    order = spark.range(4500).orderBy(F.xxhash64("id", F.lit(7)), "id").collect()
+    last = {r.id for r in order[4100:4300]}
+    prose = "the configuration of services connects internal handlers"
+    hidden = order[-1].id
+    rows = [(i, f"token = {secret()} {prose}" if i in last else f"{secret()} {prose}" if i == hidden else prose) for i in range(4500)]
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found.where(F.col("doc_id") == hidden).select(secret_scan.as_text("found")).first()[0] == "markov:0:32"
