@@ -46,11 +46,11 @@ ORDERED = 20_000
 CHUNK = 20_000
 
 
-def unit_nodes(vectors: DataFrame) -> DataFrame:
-    """(node, vec_id, n, unit, found): one row per distinct usable vector.
+def unit_nodes(vectors: DataFrame, unusable: bool = False) -> DataFrame:
+    """(vec_id, node, unit): one row per usable vector.
 
     Vectors that are null, empty, zero, or hold a null or a non-finite component are left
-    out. ``unit`` is the direction in double precision, as bytes; ``node`` its digest.
+    out, or have a null node if they are wanted. ``unit`` is the direction in double precision, as bytes; ``node`` its digest.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -59,19 +59,23 @@ def unit_nodes(vectors: DataFrame) -> DataFrame:
         for batch in batches:
             ids, nodes, units = [], [], []
             for i, v in zip(batch["vec_id"], batch["embedding"]):
-                if v is None or not len(v):
+                x = np.array([np.nan if c is None else c for c in (() if v is None else v)], float)
+                size = np.abs(x).max() if len(x) and np.isfinite(x).all() else 0.0
+                if size > 0:
+                    x = x / size  # neither overflows nor vanishes when squared
+                    x = x / np.sqrt((x * x).sum()) + 0.0
+                    raw = x.tobytes()
+                    nodes.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
+                    units.append(raw)
+                elif unusable:
+                    nodes.append(None)
+                    units.append(None)
+                else:
                     continue
-                x = np.array([np.nan if c is None else c for c in v], float)
-                size = np.abs(x).max() if np.isfinite(x).all() else 0.0
-                if not size > 0:
-                    continue
-                x = x / size  # neither overflows nor vanishes when squared
-                x = x / np.sqrt((x * x).sum()) + 0.0
-                raw = x.tobytes()
                 ids.append(i)
-                nodes.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
-                units.append(raw)
-            yield pd.DataFrame({"vec_id": ids, "node": nodes, "unit": units}).astype({"vec_id": "Int64", "node": "int64"})
+            yield pd.DataFrame({"vec_id": ids, "node": nodes, "unit": units}).astype({"vec_id": "Int64"}).assign(
+                node=pd.array(nodes, "Int64")
+            )
 
     return vectors.select("vec_id", "embedding").mapInPandas(run, "vec_id bigint, node bigint, unit binary")
 
@@ -326,7 +330,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     ``n_links`` counts other vectors linked directly, copies included. Unusable vectors,
     and rows without an id, link with nothing and are kept. An empty table stays empty.
     """
-    usable = stage(unit_nodes(vectors).where("vec_id IS NOT NULL"), "units")
+    rows = stage(unit_nodes(vectors, unusable=True), "units")
+    usable = rows.where("vec_id IS NOT NULL AND node IS NOT NULL")
     nodes = stage(
         usable.groupBy("node").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"), F.first("unit").alias("unit")), "nodes"
     )
@@ -364,7 +369,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         .select("node", "component_id", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     )
     ids = usable.select("vec_id", "node").join(info, "node").select("vec_id", "component_id", "n_links")
-    bad = vectors.select("vec_id").join(usable.select("vec_id").distinct(), "vec_id", "left_anti")
+    bad = rows.where("vec_id IS NULL OR node IS NULL")
     out = ids.unionByName(bad.select("vec_id", F.col("vec_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
     return out.select(
         "vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept")

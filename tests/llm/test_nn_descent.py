@@ -112,3 +112,9 @@ def test_a_large_group_does_not_hide_lost_pairs(spark):
 
 def test_codes_grow_with_the_nodes():
     assert [nn_descent.code_bits(n) - nn_descent.SPARE for n in (0, 2, 1 << 14, 1 << 20)] == [1, 1, 14, 20]
+
+
+def test_an_id_with_a_usable_and_an_unusable_vector_keeps_both_rows(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, None), (2, [0.0, 1.0])], "vec_id bigint, embedding array<float>")
+    found = nn_descent.near_duplicates(df).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [(1, 0, 1), (1, 0, 1), (2, 0, 2)]
