@@ -35,9 +35,10 @@ from quillmark.sources.tables import load_corpus, load_split, write_table
 from quillmark.streaming.features import file_stream, stream_batches, stream_features
 
 KEYS = ["doc_id", "sentence_index"]
-# Model settings for the registered queries; a real run uses the defaults.
-EXPERT = ExpertSettings(num_features=1 << 14, max_iter=8, reg_params=(0.01,), folds=2)
-META = MetaSettings(trials=2, max_depth=(2, 4), rounds=(4, 8), round_step=4)
+# Model settings for the registered queries: the defaults, as in a real run.
+EXPERT = ExpertSettings()
+META = MetaSettings()
+# Rows of the sampling queries.
 SAMPLE = 1000
 TOP = 20
 CHUNKS = 16
@@ -575,12 +576,10 @@ def q_feature_importance(spark, sf):
 
 
 def _pipeline(spark, sf):
-    from quillmark.config import FeatureSettings, Settings
+    from quillmark.config import Settings
     from quillmark.plans.pipeline import run_pipeline
 
-    wanted = FeatureSettings(sample_from_train=SAMPLE, expert_scores="in_sample")
-    settings = Settings(expert=EXPERT, meta=META, feature=wanted)
-    return run_pipeline(_labelled(spark, sf), new_folder(spark, "run"), settings)
+    return run_pipeline(_labelled(spark, sf), new_folder(spark, "run"), Settings(expert=EXPERT, meta=META))
 
 
 def q_detect(spark, sf):

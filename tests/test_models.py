@@ -141,3 +141,11 @@ def test_texts_are_not_joined_while_preparing(spark, tmp_path, monkeypatch):
             assert "SortMergeJoin" not in df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_registered_queries_use_the_default_settings(spark, sf, monkeypatch):
+    from quillmark.config import Settings
+    from quillmark.plans import pipeline, queries
+
+    monkeypatch.setattr(pipeline, "run_pipeline", lambda corpus, path, settings: settings)
+    assert queries._pipeline(spark, sf) == Settings()
