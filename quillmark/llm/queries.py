@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import html_extract, minhash, nn_descent, packing, piece_table, quality, secret_scan, simhash, toxicity, warc
+from quillmark.llm import html_extract, minhash, nn_descent, packing, piece_table, quality, secret_scan, simhash, token_align, toxicity, warc
 from quillmark.llm.common import read
 
 
@@ -27,5 +27,6 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality": quality.op9_quality,
     "op10_html": html_extract.op10_html,
+    "op11_alignment": token_align.op11_alignment,
 }
 ORACLES = {"op2_warc": warc.ORACLE}
