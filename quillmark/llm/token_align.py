@@ -8,8 +8,10 @@ both end cut the text into groups, and every stretch between neighbouring ends i
 A-B pair of overlapping tokens, a link.
 
 Both tokenizers cut at a lone space between two other characters, so a text is aligned
-word by word: words seen before come from a memory of bounded size. A text with a word
-whose decoded bytes differ from its own is aligned as a whole, which settles it exactly.
+word by word: words seen before come from a memory of bounded size. Words fall apart
+further where A's pattern cuts and no piece of B holds the two characters side by side. A
+text with a word whose decoded bytes differ from its own is aligned as a whole, which
+settles it exactly.
 
 Counting is one aggregate over (A id, B id) pairs, one row per document and pair. To score
 the links, the commonest pairs (``HOT``, a fixed number) are looked up from a broadcast
@@ -23,7 +25,8 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from operator import itemgetter
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -40,10 +43,13 @@ MARK = "▁"
 #: Commonest id pairs that are broadcast; 24 bytes each.
 HOT = 65_536
 #: Words kept in a worker's memory, and the longest word worth keeping.
-WORDS, WORD_CHARS = 100_000, 40
-#: A space both tokenizers cut at. ``\s`` here holds every character that theirs holds.
-LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+WORDS, WORD_CHARS = 250_000, 40
+#: Both tokenizers cut in front of a lone space. ``\s`` here holds every character that theirs holds.
+WORD = re.compile(r"(?<=\S)(?= \S)")
+#: Inside a word A cuts between letters and stops, and around a newline between other characters.
+PART = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ɏ])(?=[.,;:!?])|(?<=[.,;:!?])(?=\n)|(?<=\S\n)(?=[0-9A-Za-zÀ-ÖØ-öø-ɏ])")
 LINKED = "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>, times array<int>"
+PIECE = attrgetter("id", "begin", "end")
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
@@ -54,29 +60,31 @@ def byte_level_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-def refined_ends(spans: list[tuple[int, int]], decoded: list[bytes]) -> list[int] | None:
-    """Byte offsets where tokens end, from byte spans of their characters and their bytes.
+def flat(nested, size: int) -> np.ndarray:
+    """The whole numbers of nested sequences, end to end."""
+    return np.fromiter(chain.from_iterable(nested), "int64", size)
 
-    A span's end is a coarse cut if the next span starts there or later. A lone token
-    between two cuts takes the cut; tokens that share characters are placed by their own
-    bytes and have to fill the stretch, otherwise there is no alignment.
+
+def refined_ends(spans: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Byte offsets where tokens end, from byte spans of their characters and their sizes.
+
+    A span's end is a coarse cut if the next span starts there or later and no cut lies
+    there yet. A lone token between two cuts takes the cut; tokens that share characters are
+    placed by their own bytes and have to fill the stretch between the cuts.
     """
-    ends: list[int] = []
-    at, first, last = 0, 0, len(spans) - 1
-    for k, (_, end) in enumerate(spans):
-        if k < last and (spans[k + 1][0] < end or end <= at):
-            continue
-        if k == first:
-            ends.append(end)
-        else:
-            place = at
-            for token in decoded[first : k + 1]:
-                place += len(token)
-                ends.append(place)
-            if place != end:
-                return None
-        at, first = end, k + 1
-    return ends
+    starts, ends = spans[:, 0], spans[:, 1]
+    cut = np.ones(len(ends), bool)
+    cut[:-1] = starts[1:] >= ends[:-1]
+    behind = np.flatnonzero(cut)
+    cut[behind[1:][ends[behind[1:]] == ends[behind[:-1]]]] = False
+    run = np.cumsum(sizes)
+    # The last cut in front of each token, and the bytes decoded since.
+    before = np.concatenate([[-1], np.maximum.accumulate(np.where(cut, np.arange(len(ends)), -1))[:-1]]).astype(int)
+    since = run - np.where(before >= 0, run[before], 0)
+    places = np.where(before >= 0, ends[before], 0) + since
+    if (places != ends)[cut].any():
+        raise ValueError("spans of a token do not hold its bytes")
+    return places
 
 
 class Aligner:
@@ -91,90 +99,146 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         alphabet = byte_level_alphabet()
-        self.bytes_a: dict[int, bytes] = {
+        of_a = {
             i: bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else token.encode()
             for token, i in self.a.get_vocab(with_added_tokens=True).items()
         }
+        self.bytes_a = [of_a.get(i, b"") for i in range(max(of_a) + 1)]
         self.n_b = self.b.get_piece_size()
         self.bytes_b = [
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode()
             for i, piece in ((i, self.b.id_to_piece(i)) for i in range(self.n_b))
         ]
+        self.adjacent = {
+            p[k : k + 2] for p in map(self.b.id_to_piece, range(self.n_b)) for k in range(len(p) - 1)
+        }
+        self.sizes_a = np.array([len(x) for x in self.bytes_a])
+        self.sizes_b = np.array([len(x) for x in self.bytes_b])
+        # An id as it is written inside a group, and at its end.
+        most = max(len(self.bytes_a), self.n_b)
+        self.inside = np.array([f"{i}," for i in range(most)], object)
+        self.last_a = np.array([f"{i}|" for i in range(most)], object)
+        self.last_b = np.array([f"{i};" for i in range(most)], object)
         self.words: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
-    def align(self, text: str, a, b) -> tuple[list[int], list[int], list[int], list[int]] | None:
-        """Ids and end offsets of both sides over space+text, or None if bytes differ."""
-        raw = b" " + text.encode()
-        ids_a, decoded_a = a.ids, [self.bytes_a[i] for i in a.ids]
-        ids_b = [p.id for p in b.pieces]
-        decoded_b = [self.bytes_b[i] for i in ids_b]
-        if b"".join(decoded_a) != raw or b"".join(decoded_b) != raw:
-            return None
-        spans_a = a.offsets
-        if len(raw) != len(text) + 1:  # characters to bytes
-            widths = [1, *(len(c.encode()) for c in text)]
-            starts = [0, *np.cumsum(widths).tolist()]
-            spans_a = [(starts[x], starts[y]) for x, y in spans_a]
-        # Spans of B leave out the space in front of the text.
-        spans_b = [(p.begin + 1 if k else 0, p.end + 1) for k, p in enumerate(b.pieces)]
-        ends_a, ends_b = refined_ends(spans_a, decoded_a), refined_ends(spans_b, decoded_b)
-        if ends_a is None or ends_b is None:
-            raise ValueError("spans of a token do not hold its bytes")
-        return ids_a, ends_a, ids_b, ends_b
-
-    def linked(self, text: str, a, b) -> tuple[str, bytes, int] | None:
-        """(groups as text, pair keys as bytes, packed counts) of a text; None if bytes differ."""
-        sides = self.align(text, a, b)
-        if sides is None:
-            return None
-        ids_a, ends_a, ids_b, ends_b = sides
-        pairs, groups = [], []
-        i = j = first_i = first_j = 0
-        while i < len(ends_a) and j < len(ends_b):
-            pairs.append(ids_a[i] * self.n_b + ids_b[j])
-            end_a, end_b = ends_a[i], ends_b[j]
-            i += end_a <= end_b
-            j += end_b <= end_a
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, ids_a[first_i:i]))}|{','.join(map(str, ids_b[first_j:j]))}")
-                first_i, first_j = i, j
-        packed = len(ids_a) | len(ids_b) << 40 | len(groups) << 80
-        return ";".join(groups), np.array(pairs, "<i8").tobytes(), packed
-
     def fresh(self, found: list[str]) -> list[tuple[str, bytes, int] | None]:
-        a = self.a.encode_batch([" " + x for x in found], add_special_tokens=False)
-        b = self.b.encode(found, num_threads=1, return_type="proto")
-        return [self.linked(x, one, two) for x, one, two in zip(found, a, b)]
+        """(groups as text, pair keys as bytes, packed counts) of stretches; None if bytes differ.
+
+        A stretch that starts with a space is what B sees behind its own mark; any other is
+        shown to B behind a newline, which it never joins to anything, and the tokens of
+        mark and newline are left out. The stretches are laid end to end, so all of them
+        are aligned by a few array steps.
+        """
+        a = self.a.encode_batch(found, add_special_tokens=False)
+        marked = [x[0] == " " for x in found]
+        b = self.b.encode([x[1:] if m else "\n" + x for x, m in zip(found, marked)], num_threads=1, return_type="proto")
+        b = [list(map(PIECE, x.pieces)) for x in b]
+        b = [x if m else x[2:] for x, m in zip(b, marked)]
+        raw = [x.encode() for x in found]
+        ids_a = [x.ids for x in a]
+        bad = {k for k in range(len(found)) if self.differs(raw[k : k + 1], ids_a[k : k + 1], b[k : k + 1])} if self.differs(raw, ids_a, b) else set()
+        out: list[tuple[str, bytes, int] | None] = [None] * len(found)
+        good = [k for k in range(len(found)) if k not in bad]
+        if not good:
+            return out
+        if bad:
+            found, marked, raw, a, b, ids_a = ([x[k] for k in good] for x in (found, marked, raw, a, b, ids_a))
+        n_a, n_b = np.array([*map(len, ids_a)]), np.array([*map(len, b)])
+        tokens_b = flat(chain.from_iterable(b), 3 * n_b.sum()).reshape(-1, 3)
+        flat_a, flat_b, spans_b = flat(ids_a, n_a.sum()), tokens_b[:, 0], tokens_b[:, 1:]
+        sizes = np.array([*map(len, raw)])
+        text_end = np.cumsum(sizes)
+        text_start = text_end - sizes
+        # Character offsets of A to byte offsets.
+        letters = np.frombuffer("".join(found).encode("utf-32-le"), "<u4")
+        widths = 1 + (letters > 0x7F) + (letters > 0x7FF) + (letters > 0xFFFF)
+        byte_at = np.concatenate([[0], np.cumsum(widths)])
+        first = np.cumsum([0, *map(len, found)][:-1])
+        spans_a = flat(chain.from_iterable(x.offsets for x in a), 2 * n_a.sum()).reshape(-1, 2)
+        ends_a = refined_ends(byte_at[spans_a + np.repeat(first, n_a)[:, None]], self.sizes_a[flat_a])
+        # Byte spans of B leave out the space in front, or count the newline.
+        spans_b = spans_b + np.repeat(np.where(marked, 1, -1), n_b)[:, None]
+        spans_b[np.cumsum(n_b) - n_b, 0] = 0
+        ends_b = refined_ends(spans_b + np.repeat(text_start, n_b)[:, None], self.sizes_b[flat_b])
+        every = np.union1d(ends_a, ends_b)
+        pairs = flat_a[np.searchsorted(ends_a, every)] * self.n_b + flat_b[np.searchsorted(ends_b, every)]
+        common = np.intersect1d(ends_a, ends_b)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        # The tokens of both sides in the order in which groups list them.
+        order_a = np.arange(len(flat_a)) + np.searchsorted(group_b, group_a)
+        order_b = np.arange(len(flat_b)) + np.searchsorted(group_a, group_b, "right")
+        shown = np.empty(len(flat_a) + len(flat_b), object)
+        shown[order_a], shown[order_b] = self.inside[flat_a], self.inside[flat_b]
+        last_a, last_b = np.searchsorted(ends_a, common), np.searchsorted(ends_b, common)
+        shown[order_a[last_a]], shown[order_b[last_b]] = self.last_a[flat_a[last_a]], self.last_b[flat_b[last_b]]
+        shown = shown.tolist()
+        keys = pairs.astype("<i8").tobytes()
+        link_end = np.searchsorted(every, text_end, "right").tolist()
+        group_end = np.searchsorted(common, text_end, "right").tolist()
+        token_end = np.cumsum(n_a + n_b).tolist()
+        link = group = token = 0
+        for j, k in enumerate(good):
+            packed = len(ids_a[j]) | len(b[j]) << 40 | (group_end[j] - group) << 80
+            out[k] = ("".join(shown[token : token_end[j]])[:-1], keys[8 * link : 8 * link_end[j]], packed)
+            link, group, token = link_end[j], group_end[j], token_end[j]
+        return out
+
+    def differs(self, raw: list[bytes], ids_a: list[list[int]], b: list[list[tuple[int, int, int]]]) -> bool:
+        """Whether the tokens of either side spell other bytes, in all or in any stretch."""
+        spelled_a = [b"".join([self.bytes_a[i] for i in ids]) for ids in ids_a]
+        return spelled_a != raw or [b"".join([self.bytes_b[t[0]] for t in x]) for x in b] != raw
+
+    def parts(self, word: str) -> list[str]:
+        """Stretches of a word that either tokenizer encodes on their own."""
+        cut = PART.split(word)
+        if len(cut) > 1:
+            whole = [cut[0]]
+            for x in cut[1:]:
+                if whole[-1][-1] + x[0] in self.adjacent:
+                    whole[-1] += x
+                else:
+                    whole.append(x)
+            return whole
+        return cut
 
     def documents(self, found: list[str]) -> list[tuple[str, bytes, int]]:
-        """What ``linked`` gives for each text; texts without an alignment give nothing."""
-        cut = [LONE_SPACE.split(x) if x else [] for x in found]
-        now: dict[str, tuple | None] = {}
-        for word in {w for words in cut for w in words}:
-            if word in self.words:
-                continue
-            if word in self.older:
-                self.words[word] = self.older[word]
-            else:
-                now[word] = None
-        fresh = list(now)
-        for at in range(0, len(fresh), 4096):
-            now.update(zip(fresh[at : at + 4096], self.fresh(fresh[at : at + 4096])))
-        self.words.update((w, x) for w, x in now.items() if len(w) <= WORD_CHARS)
+        """What ``fresh`` gives for a space and each text; texts without an alignment give nothing."""
+        words = [WORD.split(" " + x) if x else [] for x in found]
+        new = [w for w in set(chain.from_iterable(words)) if not self.met(w)]
+        cut = [self.parts(w) for w in new]
+        fresh = [x for x in set(chain.from_iterable(cut)) if not self.met(x)]
+        known = self.words
+        for at in range(0, len(fresh), 2048):
+            known.update(zip(fresh[at : at + 2048], self.fresh(fresh[at : at + 2048])))
+        known.update((w, joined([known[x] for x in some])) for w, some in zip(new, cut) if len(some) > 1)
         out = []
-        for text, words in zip(found, cut):
-            parts = [self.words[w] if w in self.words else now[w] for w in words]
-            if None in parts:
-                whole = self.fresh([text])[0]
-                parts = [whole] if whole is not None else []
-            out.append((";".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), sum(map(itemgetter(2), parts))))
-        if len(self.words) > WORDS:
-            self.older, self.words = self.words, {}
+        for text, some in zip(found, words):
+            entry = joined(list(map(known.__getitem__, some)))
+            out.append(entry or self.fresh([" " + text])[0] or ("", b"", 0))
+        for word in {*new, *fresh}:
+            if len(word) > WORD_CHARS:
+                del known[word]
+        if len(known) > WORDS:
+            self.older, self.words = known, {}
         return out
 
-    def forget(self) -> None:
-        self.words, self.older = {}, {}
+    def met(self, word: str) -> bool:
+        if word not in self.words:
+            if word not in self.older:
+                return False
+            self.words[word] = self.older[word]
+        return True
+
+
+def joined(entries: list) -> tuple[str, bytes, int] | None:
+    """Entries of stretches that follow one another as one; None if any has none."""
+    if not entries:
+        return "", b"", 0
+    if not all(entries):
+        return None
+    shown, keys, packed = zip(*entries)
+    return ";".join(shown), b"".join(keys), sum(packed)
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
@@ -208,7 +272,6 @@ def linked_documents(docs: DataFrame, path_a: str | None = None, path_b: str | N
             out = pd.DataFrame(rows, columns=names)
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield out
-        both.forget()
 
     return texts(docs).mapInPandas(run, LINKED + (", groups string" if groups else ""))
 
