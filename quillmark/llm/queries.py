@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmark.llm import html_extract, minhash, nn_descent, packing, piece_table, quality, rp_forest, secret_scan, simhash, token_align, toxicity, warc
+from quillmark.llm import collocations, html_extract, minhash, nn_descent, packing, piece_table, quality, rp_forest, secret_scan, simhash, token_align, toxicity, warc
 from quillmark.llm.common import read
 
 
@@ -28,6 +28,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_html": html_extract.op10_html,
     "op11_alignment": token_align.op11_alignment,
+    "op12_collocations": collocations.op12_collocations,
     "op13_neighbours": rp_forest.op13_neighbours,
 }
-ORACLES = {"op2_warc": warc.ORACLE}
+ORACLES = {"op2_warc": warc.ORACLE, "op12_collocations": collocations.ORACLE}
