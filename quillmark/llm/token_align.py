@@ -44,6 +44,8 @@ MARK = "▁"
 HOT = 65_536
 #: Words kept in a worker's memory, and the longest word worth keeping.
 WORDS, WORD_CHARS = 250_000, 40
+#: New words that share one call of a tokenizer.
+TOGETHER = 32
 #: Both tokenizers cut in front of a lone space. ``\s`` here holds every character that theirs holds.
 WORD = re.compile(r"(?<=\S)(?= \S)")
 #: Inside a word A cuts between letters and stops, and around a newline between other characters.
@@ -127,9 +129,31 @@ class Aligner:
 
         A stretch that starts with a space is what B sees behind its own mark; any other is
         shown to B behind a newline, which it never joins to anything, and the tokens of
-        mark and newline are left out. The stretches are laid end to end, so all of them
-        are aligned by a few array steps.
+        mark and newline are left out. Stretches of one word go through the tokenizers
+        ``TOGETHER`` at a time, each behind the space that cuts it off.
         """
+        lone = [k for k, x in enumerate(found) if x[0] != " " or x[1:2].isspace() or x[-1].isspace()]
+        kept = set(lone)
+        rest = [k for k in range(len(found)) if k not in kept]
+        rows = [[k] for k in lone] + [rest[at : at + TOGETHER] for at in range(0, len(rest), TOGETHER)]
+        out: list[tuple[str, bytes, int] | None] = [None] * len(found)
+        while rows:
+            again = []
+            for row, entries in zip(rows, self.aligned([[found[k] for k in row] for row in rows])):
+                if entries is not None:
+                    for k, entry in zip(row, entries):
+                        out[k] = entry
+                elif len(row) > 1:
+                    again += [[k] for k in row]
+            rows = again
+        return out
+
+    def aligned(self, rows: list[list[str]]) -> list[list[tuple[str, bytes, int]] | None]:
+        """Entries of the stretches in each row; None for a row whose bytes differ.
+
+        Rows are laid end to end, so all of them are aligned by a few array steps.
+        """
+        found = ["".join(row) for row in rows]
         a = self.a.encode_batch(found, add_special_tokens=False)
         marked = [x[0] == " " for x in found]
         b = self.b.encode([x[1:] if m else "\n" + x for x, m in zip(found, marked)], num_threads=1, return_type="proto")
@@ -138,8 +162,8 @@ class Aligner:
         raw = [x.encode() for x in found]
         ids_a = [x.ids for x in a]
         bad = {k for k in range(len(found)) if self.differs(raw[k : k + 1], ids_a[k : k + 1], b[k : k + 1])} if self.differs(raw, ids_a, b) else set()
-        out: list[tuple[str, bytes, int] | None] = [None] * len(found)
-        good = [k for k in range(len(found)) if k not in bad]
+        out: list[list[tuple[str, bytes, int]] | None] = [None] * len(rows)
+        good = [k for k in range(len(rows)) if k not in bad]
         if not good:
             return out
         if bad:
@@ -174,14 +198,19 @@ class Aligner:
         shown[order_a[last_a]], shown[order_b[last_b]] = self.last_a[flat_a[last_a]], self.last_b[flat_b[last_b]]
         shown = shown.tolist()
         keys = pairs.astype("<i8").tobytes()
-        link_end = np.searchsorted(every, text_end, "right").tolist()
-        group_end = np.searchsorted(common, text_end, "right").tolist()
-        token_end = np.cumsum(n_a + n_b).tolist()
-        link = group = token = 0
-        for j, k in enumerate(good):
-            packed = len(ids_a[j]) | len(b[j]) << 40 | (group_end[j] - group) << 80
-            out[k] = ("".join(shown[token : token_end[j]])[:-1], keys[8 * link : 8 * link_end[j]], packed)
-            link, group, token = link_end[j], group_end[j], token_end[j]
+        cut = np.cumsum([len(x.encode()) for k in good for x in rows[k]])
+        at_a, at_b, link_end, group_end = (
+            [0, *np.searchsorted(x, cut, "right").tolist()] for x in (ends_a, ends_b, every, common)
+        )
+        entries = []
+        for i in range(len(cut)):
+            a0, a1, b0, b1, link, group = at_a[i], at_a[i + 1], at_b[i], at_b[i + 1], link_end[i], group_end[i]
+            packed = a1 - a0 | b1 - b0 << 40 | group_end[i + 1] - group << 80
+            entries.append(("".join(shown[a0 + b0 : a1 + b1])[:-1], keys[8 * link : 8 * link_end[i + 1]], packed))
+        at = 0
+        for k in good:
+            out[k] = entries[at : at + len(rows[k])]
+            at += len(rows[k])
         return out
 
     def differs(self, raw: list[bytes], ids_a: list[list[int]], b: list[list[tuple[int, int, int]]]) -> bool:
