@@ -7,9 +7,9 @@ are its transform. An interval of places that start with a phrase is extended by
 either side with ranks alone, both directions staying in step, and its length is the
 phrase's count. Counts are summed across shards.
 
-A phrase can only be common if all its parts are. Shards therefore go through three
-rounds: single words; pairs of common words; phrases of three to five words inside runs in
-which every pair is common. Between rounds each shard gets back which of its own entries
+A phrase can only be common if all its parts are. Shards therefore go through four rounds:
+single words; pairs of common words; triples inside runs in which every pair is common;
+phrases of four and five words inside runs of common triples. Between rounds each shard gets back which of its own entries
 are common in the whole language and keeps only what can still matter, so neither a
 vocabulary nor a phrase table is ever broadcast. Summing left and right extensions gives
 for every phrase the count of the commonest phrase that is one word longer, which decides
@@ -32,7 +32,7 @@ LONGEST = 5
 LEAST, CONTAINED = 100, 100
 TOP = 2000
 #: Words after which a shard is full; a single piece is never cut.
-SHARD = 1 << 20
+SHARD = 1 << 19
 #: Ends of pieces become the byte 0xFF, which no text holds; tabs become spaces; A-Z lower case.
 _BYTES = bytearray(range(256))
 for _b in b".,;:!?\n\x0b\x0c\r":
@@ -221,26 +221,55 @@ def counted(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame,
     entries = entries.select("shard", F.col("x.codes").alias("code"), F.col("x.counts").alias("count"))
     common_pairs = stage(entries.withColumn("f", total).where(F.col("f") >= least).select("shard", "code", "f"), "common")
 
+    def triples(shard: pd.DataFrame, common: pd.DataFrame) -> pd.DataFrame:
+        if not len(shard) or not len(common):
+            return pd.DataFrame(columns=["shard", "text", "a", "b", "c", "counts"])
+        text = np.frombuffer(shard["text"][0], "<i4").astype("int64")
+        codes = text << 32 | np.roll(text, -1)
+        text = runs(text, np.isin(codes, common["code"].to_numpy()), 3)
+        ids, numbers = np.unique(np.append(text, 0), return_inverse=True)
+        index = Index(numbers, 3)
+        state = index.extended(index.extended(index.words(), left=False), left=True)
+        a, b, c = ids[state["phrase"].T].astype("i4")
+        packed = text.astype("<i4").tobytes()
+        return pd.DataFrame({"shard": shard["shard"], "text": [packed], "a": [a], "b": [b], "c": [c], "counts": [state["count"]]})
+
+    kind = "shard bigint, text binary, a array<int>, b array<int>, c array<int>, counts array<bigint>"
+    third = second.select("shard", "text").groupBy("shard").cogroup(common_pairs.select("shard", "code").groupBy("shard"))
+    third = stage(third.applyInPandas(triples, kind), "triples")
+    entries = third.select("shard", F.explode(F.arrays_zip("a", "b", "c", "counts")).alias("x")).select("shard", "x.*")
+    entries = entries.withColumn("f", F.sum("counts").over(Window.partitionBy("a", "b", "c")))
+    common_triples = stage(entries.where(F.col("f") >= least).select("shard", "a", "b", "c", "f"), "common")
+
     def phrases(shard: pd.DataFrame, common: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(shard) and len(common):
             text = np.frombuffer(shard["text"][0], "<i4").astype("int64")
-            codes = text << 32 | np.roll(text, -1)
-            text = runs(text, np.isin(codes, common["code"].to_numpy()), 3)
-            ids, text = np.unique(np.append(text, 0), return_inverse=True)
-            index = Index(text, LONGEST)
-            state, left = index.extended(index.words(), left=False), True
+            ids, numbers = np.unique(np.append(text, 0), return_inverse=True)
+            if len(ids) >= 1 << 21:
+                raise ValueError("a shard has more than 2^21 common words")
+            a, b, c = (np.searchsorted(ids, common[x].to_numpy()) for x in ("a", "b", "c"))
+            here = numbers << 42 | np.roll(numbers, -1) << 21 | np.roll(numbers, -2)
+            whole = np.isin(here, a << 42 | b << 21 | c)
+            # Places inside common triples, and links between neighbours that share one.
+            linked = whole | np.roll(whole, 1) & (np.arange(len(whole)) > 0)
+            numbers = runs(numbers, linked, 4)
+            index = Index(np.append(numbers, 0), LONGEST)
+            state, left = index.extended(index.extended(index.words(), left=False), left=True), False
             while state["phrase"].shape[1] < LONGEST:
                 state, left = index.extended(state, left), not left
-                found.append(pd.DataFrame({"ids": list(ids[state["phrase"]]), "count": state["count"]}))
+                if len(state["count"]):
+                    found.append(pd.DataFrame({"ids": list(ids[state["phrase"]]), "count": state["count"]}))
         return pd.concat(found) if found else pd.DataFrame(columns=["ids", "count"])
 
-    third = second.select("shard", "text").groupBy("shard").cogroup(common_pairs.select("shard", "code").groupBy("shard"))
-    longer = third.applyInPandas(phrases, "ids array<bigint>, count bigint")
+    fourth = third.select("shard", "text").groupBy("shard").cogroup(common_triples.select("shard", "a", "b", "c").groupBy("shard"))
+    longer = fourth.applyInPandas(phrases, "ids array<bigint>, count bigint")
     longer = longer.groupBy("ids").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
+    three = common_triples.select("a", "b", "c", "f").distinct()
+    three = three.select(F.array(*[F.col(x).cast("bigint") for x in "abc"]).alias("ids"), "f")
     two = common_pairs.select("code", "f").distinct()
     two = two.select(F.array(F.shiftright("code", 32), F.col("code").bitwiseAND((1 << 32) - 1)).alias("ids"), "f")
-    return totals, words, stage(two.unionByName(longer), "phrases")
+    return totals, words, stage(two.unionByName(three).unionByName(longer), "phrases")
 
 
 #: floor(1000 * a * n / (l * r)) in whole numbers of up to 38 digits.
