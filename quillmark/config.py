@@ -118,11 +118,23 @@ class MetaSettings:
     min_child: tuple[int, int] = (1, 10)
     rounds: tuple[int, int] = (200, 1000)
     round_step: int = 50
-    parallelism: int = 2
+    # "model" learns from earlier trials, "random" draws each one on its own.
+    search: str = "model"
+    startup: int = 10
+    batch: int = 5
+    # Tree counts at which only the best share of trials goes on.
+    rungs: tuple[int, ...] = (40, 120)
+    keep: float = 0.34
     early_stopping: bool = True
+    patience: int = 20
+    max_bins: int = 64
     top_n: int = 50
     saved_top_n: int = 20
 
+    def __post_init__(self):
+        if self.search not in ("model", "random"):
+            raise ValueError(f"unknown search {self.search!r}")
+
 
 @dataclass(frozen=True)
 class Settings:

@@ -8,13 +8,14 @@ what an earlier one wrote.
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.config import EXPERT_COLUMNS, EXPERTS, Settings
-from quillmark.operators import corpus, experts, lm, meta, metrics, sampling
+from quillmark.operators import corpus, experts, lm, meta, metrics, sampling, tuning
 from quillmark.operators.windows import (
     assemble_features,
     sentence_table,
@@ -160,13 +161,18 @@ class PipelineRun:
         rows = self.table("sentences")
         train, val = self._part(rows, "train"), self._part(rows, "val")
         done = self.manifest.completed()
-        for name, window in EXPERTS.items():
-            if f"expert_{name}" in done:
-                continue
-            found = experts.train_expert(train, val, name, window, "label", self.settings.expert)
-            experts.save_experts({name: found}, f"{self.path}/experts")
-            write_json(self.spark, found.metrics, f"{self.path}/expert_metrics/{name}")
-            self.manifest.mark(f"expert_{name}")
+
+        def fit(name: str) -> experts.Expert:
+            return experts.train_expert(train, val, name, EXPERTS[name], "label", self.settings.expert)
+
+        with ThreadPoolExecutor(experts.SIDE_BY_SIDE) as pool:
+            fits = {name: pool.submit(fit, name) for name in EXPERTS if f"expert_{name}" not in done}
+            # Noted one after the other: appends to the manifest share a folder.
+            for name, found in fits.items():
+                found = found.result()
+                experts.save_experts({name: found}, f"{self.path}/experts")
+                write_json(self.spark, found.metrics, f"{self.path}/expert_metrics/{name}")
+                self.manifest.mark(f"expert_{name}")
         if self.settings.feature.expert_scores == "out_of_fold":
             scored = experts.score_out_of_fold(
                 train, settings=self.settings.expert, seed=self.settings.seed
@@ -253,11 +259,12 @@ class PipelineRun:
         train, val = self._part(rows, "train"), self._part(rows, "val")
         if s.dropout.enabled:
             train = self._write(sampling.expert_dropout(train, KEYS, s.dropout), "augmented")
-        trials = meta.search(train, val, columns, s.meta, seed=s.seed)
+        trials = tuning.search(train, val, columns, s.meta, seed=s.seed)
         self._write(meta.trials_table(self.spark, trials), "trials")
         model = meta.fit_meta(
-            train, val, columns, meta.best_params(trials), early_stopping=s.meta.early_stopping,
-            seed=s.seed,
+            train, val, columns, meta.best_params(trials),
+            patience=s.meta.patience if s.meta.early_stopping else None,
+            seed=s.seed, max_bins=s.meta.max_bins,
         )
         found = meta.meta_metrics(model.score(val)).first().asDict()
         flips = meta.fragility(val, model, s.dropout.neutral).first().asDict()

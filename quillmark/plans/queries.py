@@ -30,7 +30,7 @@ from quillmark.operators.windows import (
     window_features,
 )
 from quillmark.plans import incremental
-from quillmark.sources.staging import new_folder, stage
+from quillmark.sources.staging import checkpoint_dir, new_folder, stage
 from quillmark.sources.tables import load_corpus, load_split, write_table
 from quillmark.streaming.features import file_stream, stream_batches, stream_features
 
@@ -532,54 +532,49 @@ def q_expert_scores_oof(spark, sf):
     return scored.select(*KEYS, "label", "fold", "prob_ai_s1", "prob_ai_s3", "prob_ai_s5")
 
 
-def _meta_rows(spark, sf) -> DataFrame:
-    """Stored features of labelled sentences with simple expert scores."""
-    docs = _labelled_splits(spark, sf)
-    rows = window_features(docs)
-    for name, window in (("s1", "window_1"), ("s3", "window_3"), ("s5", "window_5")):
-        length = F.col(f"{window}_avg_sentence_length")
-        rows = rows.withColumn(f"prob_ai_{name}", length / (length + F.lit(16.0)))
-    return stage(rows, "features", partition_by=("split",))
+def _pipeline(spark, sf):
+    """The whole run over the labelled documents, with the default settings.
+
+    Its folder is named by a digest of input and settings, so every query of a cluster
+    goes on with the same run, and only the first one waits for it.
+    """
+    from quillmark.config import Settings
+    from quillmark.plans.pipeline import fingerprint, run_pipeline
 
+    docs, settings = _labelled(spark, sf), Settings(expert=EXPERT, meta=META)
+    path = f"{checkpoint_dir(spark)}/run-{fingerprint(docs, settings)[:32]}"
+    return run_pipeline(docs, path, settings)
 
-def _meta_model(rows: DataFrame):
-    train, val, _ = _parts(rows)
-    columns = meta.feature_columns(rows)
-    params = meta.draw_params(META, 42)[0]
-    return meta.fit_meta(sampling.expert_dropout(train, KEYS), val, columns, params)
+
+def _meta_rows(run) -> DataFrame:
+    """Rows of the ensemble with their real expert scores: train, val and test."""
+    test = run.table("test_rows")
+    known = run.table("meta_rows").select(*test.columns, "split")
+    return known.unionByName(test.withColumn("split", F.lit("test")))
 
 
 def q_search_trials(spark, sf):
-    rows = _meta_rows(spark, sf)
-    train, val, _ = _parts(rows)
-    trials = meta.search(train, val, meta.feature_columns(rows), META)
-    return meta.trials_table(spark, trials)
+    """All trials of the model-based search."""
+    return _pipeline(spark, sf).table("trials")
 
 
 def q_meta_scores(spark, sf):
-    rows = _meta_rows(spark, sf)
-    return _meta_model(rows).score(rows).select(*KEYS, "label", "split", "prob_ai")
+    run = _pipeline(spark, sf)
+    return run.meta_model().score(_meta_rows(run)).select(*KEYS, "label", "split", "prob_ai")
 
 
 def q_meta_metrics(spark, sf):
-    rows = _meta_rows(spark, sf)
-    return meta.meta_metrics(_meta_model(rows).score(_parts(rows)[2]))
+    run = _pipeline(spark, sf)
+    return meta.meta_metrics(run.meta_model().score(run.table("test_rows")))
 
 
 def q_meta_fragility(spark, sf):
-    rows = _meta_rows(spark, sf)
-    return meta.fragility(_parts(rows)[1], _meta_model(rows))
+    run = _pipeline(spark, sf)
+    return meta.fragility(_meta_rows(run).filter("split = 'val'"), run.meta_model())
 
 
 def q_feature_importance(spark, sf):
-    return _meta_model(_meta_rows(spark, sf)).importance(spark)
-
-
-def _pipeline(spark, sf):
-    from quillmark.config import Settings
-    from quillmark.plans.pipeline import run_pipeline
-
-    return run_pipeline(_labelled(spark, sf), new_folder(spark, "run"), Settings(expert=EXPERT, meta=META))
+    return _pipeline(spark, sf).meta_model().importance(spark)
 
 
 def q_detect(spark, sf):

@@ -10,7 +10,7 @@ from quillmark.config import (
     Settings,
     SplitSettings,
 )
-from quillmark.operators import meta
+from quillmark.operators import meta, tuning
 from quillmark.operators.experts import score_out_of_fold
 from quillmark.operators.windows import context_windows
 from quillmark.plans.pipeline import PHASES, PipelineRun, run_pipeline
@@ -18,7 +18,7 @@ from tests.corpora import letters
 
 SETTINGS = Settings(
     expert=ExpertSettings(num_features=1 << 10, max_iter=5, reg_params=(0.01, 0.1), folds=2),
-    meta=MetaSettings(trials=2, max_depth=(2, 3), rounds=(2, 4), round_step=2),
+    meta=MetaSettings(trials=2, max_depth=(2, 3), rounds=(2, 4), round_step=2, rungs=(2,)),
     feature=FeatureSettings(sample_from_train=60, chunks=4),
 )
 
@@ -101,9 +101,9 @@ def test_out_of_fold_scores(spark, corpus):
 
 def test_draws_are_seeded_and_in_range():
     space = MetaSettings()
-    draws = meta.draw_params(space, 1)
-    assert draws == meta.draw_params(space, 1) and draws != meta.draw_params(space, 2)
-    assert len(draws) == 30
+    draws = [tuning.propose([], space, 1, k) for k in range(30)]
+    assert draws == [tuning.propose([], space, 1, k) for k in range(30)]
+    assert draws[0] != tuning.propose([], space, 2, 0)
     for d in draws:
         assert 3 <= d["max_depth"] <= 10 and 0.01 <= d["learning_rate"] <= 0.3
         assert 200 <= d["rounds"] <= 1000 and d["rounds"] % 50 == 0
@@ -147,5 +147,8 @@ def test_registered_queries_use_the_default_settings(spark, sf, monkeypatch):
     from quillmark.config import Settings
     from quillmark.plans import pipeline, queries
 
-    monkeypatch.setattr(pipeline, "run_pipeline", lambda corpus, path, settings: settings)
-    assert queries._pipeline(spark, sf) == Settings()
+    monkeypatch.setattr(pipeline, "run_pipeline", lambda corpus, path, settings: (path, settings))
+    path, settings = queries._pipeline(spark, sf)
+    assert settings == Settings()
+    # The same input and settings go on in the same folder.
+    assert queries._pipeline(spark, sf)[0] == path
