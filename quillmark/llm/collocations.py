@@ -7,9 +7,9 @@ are its transform. An interval of places that start with a phrase is extended by
 either side with ranks alone, both directions staying in step, and its length is the
 phrase's count. Counts are summed across shards.
 
-A phrase can only be common if all its parts are. Shards therefore go through four rounds:
-single words; pairs of common words; triples inside runs in which every pair is common;
-phrases of four and five words inside runs of common triples. Between rounds each shard gets back which of its own entries
+A phrase can only be common if all its parts are. Shards therefore go through a round for
+each length: single words; pairs of common words; then phrases inside runs of common ones
+that are shorter by a word. Between rounds each shard gets back which of its own entries
 are common in the whole language and keeps only what can still matter, so neither a
 vocabulary nor a phrase table is ever broadcast. Summing left and right extensions gives
 for every phrase the count of the commonest phrase that is one word longer, which decides
@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import read, stage
+from quillmark.sources.staging import new_folder
 
 LONGEST = 5
 #: A phrase is a candidate from this count on, and goes if a longer one holds this percentage of it.
 LEAST, CONTAINED = 100, 100
 TOP = 2000
 #: Words after which a shard is full; a single piece is never cut.
-SHARD = 1 << 19
+SHARD = 1 << 20
 #: Ends of pieces become the byte 0xFF, which no text holds; tabs become spaces; A-Z lower case.
 _BYTES = bytearray(range(256))
 for _b in b".,;:!?\n\x0b\x0c\r":
@@ -81,9 +82,9 @@ class Index:
                 key = key * (int(key.max(initial=0)) + 1) + np.roll(key, -step)
                 width += step
             places = np.argsort(key, kind="stable")
-            ahead = text[places - 1]
-            ranks = np.empty(len(text), "int64")
-            ranks[np.argsort(ahead, kind="stable")] = np.arange(len(text))
+            ahead = text[places - 1].astype("int32")
+            ranks = np.empty(len(text), "int32")
+            ranks[np.argsort(ahead, kind="stable")] = np.arange(len(text), dtype="int32")
             self._sides[reverse] = ahead, ranks
         return self._sides[reverse]
 
@@ -138,6 +139,13 @@ def runs(text: np.ndarray, joined: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
+def stage_small(df: DataFrame, name: str) -> DataFrame:
+    """A stage table packed tighter, since shards are written once for each round."""
+    path = new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def shards(docs: DataFrame) -> DataFrame:
     """(lang, n_words, text, words, counts): numbered words and how often each occurs."""
 
@@ -157,7 +165,7 @@ def shards(docs: DataFrame) -> DataFrame:
                     numbers, parts = held.setdefault(lang, (Numbers(), []))
                     raw = "\n".join([*found.iloc[at : at + 64], ""]).encode()
                     listed = raw.translate(_TABLE).replace(b"\xff", b" \xff ").split()
-                    parts.append(np.fromiter(map(numbers.__getitem__, listed), "int64", len(listed)))
+                    parts.append(np.fromiter(map(numbers.__getitem__, listed), "int32", len(listed)))
                     if sum(map(len, parts)) >= SHARD:
                         yield pd.DataFrame([packed(lang, *held.pop(lang))])
         for lang, (numbers, parts) in held.items():
@@ -184,7 +192,7 @@ def dense(df: DataFrame, name: str) -> DataFrame:
 
 def counted(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Totals (lang, n), common words (lang, word, f, id) and common phrases (ids, f) up to LONGEST words."""
-    first = stage(shards(docs).withColumn("shard", F.monotonically_increasing_id()), "shards")
+    first = stage_small(shards(docs).withColumn("shard", F.monotonically_increasing_id()), "shards")
     totals = first.groupBy("lang").agg(F.sum("n_words").alias("n"))
     entries = first.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x")).select(
         "shard", "lang", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("count")
@@ -214,62 +222,74 @@ def counted(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame,
     second = first.select("shard", "text", "words").groupBy("shard").cogroup(
         common.select(F.col("shard").alias("home"), "place", "id").groupBy("home")
     )
-    second = stage(second.applyInPandas(pairs, kind), "pairs")
+    second = stage_small(second.applyInPandas(pairs, kind), "pairs")
     entries = second.select("shard", F.explode(F.arrays_zip("codes", "counts")).alias("x"))
     # A shard holds a pair once, so no key has more rows than there are shards.
     total = F.sum("count").over(Window.partitionBy("code"))
     entries = entries.select("shard", F.col("x.codes").alias("code"), F.col("x.counts").alias("count"))
-    common_pairs = stage(entries.withColumn("f", total).where(F.col("f") >= least).select("shard", "code", "f"), "common")
+    common_pairs = stage_small(entries.withColumn("f", total).where(F.col("f") >= least).select("shard", "code", "f"), "common")
+
+    high, low = F.shiftright("code", 32).cast("int"), F.col("code").bitwiseAND((1 << 32) - 1).cast("int")
+    common = common_pairs.select("shard", high.alias("w1"), low.alias("w2"), "f")
+    texts, phrases = second.select("shard", "text"), []
+    for size in range(2, LONGEST + 1):
+        if size > 2:
+            texts, common = longer(texts, common, size, least)
+        names = [f"w{k}" for k in range(1, size + 1)]
+        ids = F.array(*[F.col(w).cast("bigint") for w in names]).alias("ids")
+        phrases.append(common.select(*names, "f").distinct().select(ids, "f"))
+    every = phrases[0]
+    for more in phrases[1:]:
+        every = every.unionByName(more)
+    return totals, words, stage(every, "phrases")
+
+
+def members(grams: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which rows of one matrix are rows of another."""
+    both = np.concatenate([grams, common])
+    code = both[:, 0]
+    for k in range(1, both.shape[1]):
+        code = np.unique(code, return_inverse=True)[1] * (int(both[:, k].max(initial=0)) + 1) + both[:, k]
+    return np.isin(code[: len(grams)], code[len(grams) :])
+
+
+def longer(texts: DataFrame, common: DataFrame, size: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """What is left of each shard, and its phrases of ``size`` words that are common.
+
+    A phrase is counted only if both its parts that are shorter by a word are common.
+    """
+    shorter = [f"w{k}" for k in range(1, size)]
+    names = [*shorter, f"w{size}"]
 
-    def triples(shard: pd.DataFrame, common: pd.DataFrame) -> pd.DataFrame:
+    def count(shard: pd.DataFrame, common: pd.DataFrame) -> pd.DataFrame:
         if not len(shard) or not len(common):
-            return pd.DataFrame(columns=["shard", "text", "a", "b", "c", "counts"])
+            return pd.DataFrame(columns=["shard", "text", *names, "counts"])
         text = np.frombuffer(shard["text"][0], "<i4").astype("int64")
-        codes = text << 32 | np.roll(text, -1)
-        text = runs(text, np.isin(codes, common["code"].to_numpy()), 3)
+        known = common[shorter].to_numpy("int64")
+        here = members(np.stack([np.roll(text, -k) for k in range(size - 1)], axis=1), known)
+        # Neighbours are linked if a common phrase covers both.
+        linked = here.copy()
+        for k in range(1, size - 2):
+            linked[k:] |= here[:-k]
+        text = runs(text, linked, size)
         ids, numbers = np.unique(np.append(text, 0), return_inverse=True)
-        index = Index(numbers, 3)
-        state = index.extended(index.extended(index.words(), left=False), left=True)
-        a, b, c = ids[state["phrase"].T].astype("i4")
+        index = Index(numbers, size)
+        state, left = index.words(), False
+        while state["phrase"].shape[1] < size:
+            state, left = index.extended(state, left), not left
+        grams = ids[state["phrase"]]
+        kept = members(grams[:, :-1], known) & members(grams[:, 1:], known)
+        columns = {w: [grams[kept, k].astype("i4")] for k, w in enumerate(names)}
         packed = text.astype("<i4").tobytes()
-        return pd.DataFrame({"shard": shard["shard"], "text": [packed], "a": [a], "b": [b], "c": [c], "counts": [state["count"]]})
-
-    kind = "shard bigint, text binary, a array<int>, b array<int>, c array<int>, counts array<bigint>"
-    third = second.select("shard", "text").groupBy("shard").cogroup(common_pairs.select("shard", "code").groupBy("shard"))
-    third = stage(third.applyInPandas(triples, kind), "triples")
-    entries = third.select("shard", F.explode(F.arrays_zip("a", "b", "c", "counts")).alias("x")).select("shard", "x.*")
-    entries = entries.withColumn("f", F.sum("counts").over(Window.partitionBy("a", "b", "c")))
-    common_triples = stage(entries.where(F.col("f") >= least).select("shard", "a", "b", "c", "f"), "common")
-
-    def phrases(shard: pd.DataFrame, common: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(shard) and len(common):
-            text = np.frombuffer(shard["text"][0], "<i4").astype("int64")
-            ids, numbers = np.unique(np.append(text, 0), return_inverse=True)
-            if len(ids) >= 1 << 21:
-                raise ValueError("a shard has more than 2^21 common words")
-            a, b, c = (np.searchsorted(ids, common[x].to_numpy()) for x in ("a", "b", "c"))
-            here = numbers << 42 | np.roll(numbers, -1) << 21 | np.roll(numbers, -2)
-            whole = np.isin(here, a << 42 | b << 21 | c)
-            # Places inside common triples, and links between neighbours that share one.
-            linked = whole | np.roll(whole, 1) & (np.arange(len(whole)) > 0)
-            numbers = runs(numbers, linked, 4)
-            index = Index(np.append(numbers, 0), LONGEST)
-            state, left = index.extended(index.extended(index.words(), left=False), left=True), False
-            while state["phrase"].shape[1] < LONGEST:
-                state, left = index.extended(state, left), not left
-                if len(state["count"]):
-                    found.append(pd.DataFrame({"ids": list(ids[state["phrase"]]), "count": state["count"]}))
-        return pd.concat(found) if found else pd.DataFrame(columns=["ids", "count"])
-
-    fourth = third.select("shard", "text").groupBy("shard").cogroup(common_triples.select("shard", "a", "b", "c").groupBy("shard"))
-    longer = fourth.applyInPandas(phrases, "ids array<bigint>, count bigint")
-    longer = longer.groupBy("ids").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    three = common_triples.select("a", "b", "c", "f").distinct()
-    three = three.select(F.array(*[F.col(x).cast("bigint") for x in "abc"]).alias("ids"), "f")
-    two = common_pairs.select("code", "f").distinct()
-    two = two.select(F.array(F.shiftright("code", 32), F.col("code").bitwiseAND((1 << 32) - 1)).alias("ids"), "f")
-    return totals, words, stage(two.unionByName(three).unionByName(longer), "phrases")
+        return pd.DataFrame({"shard": shard["shard"], "text": [packed], **columns, "counts": [state["count"][kept]]})
+
+    kind = "shard bigint, text binary, " + "".join(f"{w} array<int>, " for w in names) + "counts array<bigint>"
+    found = texts.groupBy("shard").cogroup(common.select("shard", *shorter).groupBy("shard")).applyInPandas(count, kind)
+    found = stage_small(found, "longer")
+    entries = found.select("shard", F.explode(F.arrays_zip(*names, "counts")).alias("x")).select("shard", "x.*")
+    entries = entries.withColumn("f", F.sum("counts").over(Window.partitionBy(*names)))
+    common = stage_small(entries.where(F.col("f") >= least).select("shard", *names, "f"), "common")
+    return found.select("shard", "text"), common
 
 
 #: floor(1000 * a * n / (l * r)) in whole numbers of up to 38 digits.
