@@ -516,6 +516,43 @@ def chunk_sql() -> str:
     return f"CAST({row_hash(['doc_id'], 0, 'chunk')} % {CHUNKS} AS INTEGER)"
 
 
+def kneser_ney_sql(source: str) -> str:
+    """Trigram counts, their continuation counts, and the interpolated probabilities."""
+
+    def window(r: int) -> str:
+        n, log = f"sum(n) OVER {frame(r)}", f"sum(lp) OVER {frame(r)}"
+        value = f"CASE WHEN {n} = 0 THEN 0::DOUBLE ELSE exp(-({log})::DOUBLE / ({n} * 1000000.0::DOUBLE)) END"
+        return f"round({value}, 4) AS window_{2 * r + 1}_perplexity"
+
+    def discount(table: str) -> str:
+        ones, twos = (f"count(*) FILTER (WHERE n = {k})" for k in (1, 2))
+        return f"(SELECT CASE WHEN {ones} > 0 THEN {ones} / ({ones} + 2.0::DOUBLE * {twos}) ELSE 0.5 END FROM {table})"
+
+    return f"""WITH {sentence_ctes(source)},
+    padded AS (SELECT doc_id, sentence_index, len({words('sentence')}) AS n_word,
+                      list_concat(list_concat([chr(2), chr(2)], {words('sentence')}), [chr(3)]) AS w FROM sent),
+    grams AS (SELECT doc_id, sentence_index, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+              FROM (SELECT *, unnest(range(1, n_word + 2)) AS i FROM padded WHERE n_word > 0)),
+    three AS (SELECT a, b, c, count(*) AS n FROM grams GROUP BY a, b, c),
+    two AS (SELECT b, c, count(*) AS n FROM three GROUP BY b, c),
+    one AS (SELECT c, count(*) AS n FROM two GROUP BY c),
+    after3 AS (SELECT a, b, sum(n)::DOUBLE AS total, count(*)::DOUBLE AS kinds FROM three GROUP BY a, b),
+    after2 AS (SELECT b, sum(n)::DOUBLE AS total, count(*)::DOUBLE AS kinds FROM two GROUP BY b),
+    sizes AS (SELECT {discount('one')} AS d1, {discount('two')} AS d2, {discount('three')} AS d3,
+                     (SELECT count(*) FROM two)::DOUBLE AS pairs, (SELECT count(*) FROM one)::DOUBLE AS v),
+    probs AS (
+        SELECT a, b, c,
+            greatest(three.n - d3, 0) / after3.total + d3 * after3.kinds / after3.total * (
+                greatest(two.n - d2, 0) / after2.total + d2 * after2.kinds / after2.total * (
+                    greatest(one.n - d1, 0) / pairs + d1 * v / pairs * (1.0::DOUBLE / (v + 1.0::DOUBLE)))) AS p
+        FROM three JOIN after3 USING (a, b) JOIN two USING (b, c) JOIN after2 USING (b) JOIN one USING (c) CROSS JOIN sizes),
+    sums AS (SELECT s.doc_id, s.sentence_index, count(p) AS n,
+                    coalesce(sum(CAST(round(1000000.0::DOUBLE * ln(p)) AS BIGINT)), 0) AS lp
+             FROM padded s LEFT JOIN grams g USING (doc_id, sentence_index) LEFT JOIN probs USING (a, b, c)
+             GROUP BY s.doc_id, s.sentence_index)
+    SELECT doc_id, sentence_index, {window(0)}, {window(1)}, {window(2)} FROM sums"""
+
+
 def oracle_sql() -> dict[str, str]:
     turns_matrix = ", ".join(
         f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS {c}"
@@ -551,6 +588,7 @@ def oracle_sql() -> dict[str, str]:
             JOIN (WITH {bigram_ctes(DOCS)} SELECT * FROM ppl) p USING (doc_id, sentence_index)""",
         "text_features": features_sql(TURNS, ("label",)),
         "bigram_perplexity": f"WITH {bigram_ctes(DOCS)} SELECT * FROM ppl",
+        "kneser_ney": kneser_ney_sql(DOCS),
         "assemble_features": f"""WITH {bigram_ctes(TURNS)}, {language_ctes()}, {windows_cte()},
             feats AS (SELECT doc_id, sentence_index, {each(lexical_cols)}, {each(length_cols)} FROM wins)
             SELECT f.*, p.* EXCLUDE (doc_id, sentence_index), d.label, l.language, {language_id('l.language')} AS language_id

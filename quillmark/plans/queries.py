@@ -16,7 +16,7 @@ from quillmark.config import (
 from quillmark.functions import text as T
 from quillmark.functions.features import WindowCounts, punctuation, sentence_stats
 from quillmark.functions.language import language_id
-from quillmark.operators import corpus, experts, lm, meta, metrics, sampling
+from quillmark.operators import corpus, experts, kneser_ney, lm, meta, metrics, sampling
 from quillmark.operators.batches import apply_batches
 from quillmark.operators.windows import (
     assemble_features,
@@ -247,6 +247,12 @@ def q_bigram_perplexity(spark, sf):
     return rounded(lm.window_perplexity(docs, lm.train_bigrams(docs)), 4)
 
 
+def q_kneser_ney(spark, sf):
+    """Window perplexity of all documents under a smoothed trigram model of them."""
+    docs = _documents(spark, sf)
+    return rounded(kneser_ney.window_perplexity(docs, kneser_ney.train(docs)), 4)
+
+
 def q_assemble_features(spark, sf):
     turns = _conversations(spark, sf)
     left = window_features(turns, groups=("lexical", "sentence_length"))
