@@ -17,6 +17,7 @@ Candidates are confirmed exactly: 100 * intersection >= 75 * union.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,11 @@ CIRCLE = 1 << 20
 LIKELY = 76
 #: Nodes of a bucket that meet in one cell, about, and pairs of a node in the first pass.
 CELL, FIRST = 512, 1
+#: Pairs confirmed in one cell, about.
+PAIRS = 2048
 SIGNED = "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, coordinates binary"
-_CACHE = WordCache(lambda w: xxhash.xxh3_64_intdigest(w))
+#: About 10 MB in both generations.
+_CACHE = WordCache(lambda w: xxhash.xxh3_64_intdigest(w), 50_000)
 
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
@@ -116,37 +120,34 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar.
+    """The pairs (a, b) of nodes whose full sets are similar; ``pairs`` is a stored table.
 
-    Texts travel rather than sets, which are larger. ``nodes`` names a document of each
-    node; where an id is repeated, the text with the node's digest counts.
+    Pairs are dealt into cells by a block of either side. A text goes once to each cell
+    that holds one of its pairs, not once for each pair, so a family of n texts that are
+    all compared moves about n times the square root of its pairs over ``PAIRS`` texts.
+    ``nodes`` names a document of each node; where an id is repeated, the text with the
+    node's digest counts.
     """
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(wanted, "node", "left_semi")
+    side = max(1, math.ceil(math.sqrt(pairs.count() / PAIRS)))
+    block = lambda name: F.pmod(F.xxhash64(name), F.lit(side))
+    cells = pairs.select((block("a") * side + block("b")).alias("cell"), "a", "b")
+    home = F.col("cell").alias("home")
+    members = cells.select(home, F.col("a").alias("node")).unionByName(cells.select(home, F.col("b").alias("node"))).distinct()
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
     own = texts(docs).join(wanted, "doc_id").select("node", "text")
-    both = (
-        pairs.join(own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    )
+    there = members.join(own, "node").select("home", "node", "text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, kept = None, np.empty(0, np.uint64)
-        for batch in small_batches(batches):
-            _CACHE.turn()
-            out = []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"]):
-                if x != last:
-                    last, kept = x, shingles(x)
-                other = shingles(y)
-                if (
-                    similar(kept, other, percent)
-                    and xxhash.xxh3_128_digest(kept.tobytes()) == a
-                    and xxhash.xxh3_128_digest(other.tobytes()) == b
-                ):
-                    out.append((a, b))
-            yield pd.DataFrame(out, columns=["a", "b"])
+    def run(pairs: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        _CACHE.turn()
+        sets = {}
+        for node, text in zip(there["node"], there["text"]):
+            found = shingles(text)
+            if xxhash.xxh3_128_digest(found.tobytes()) == node:
+                sets[node] = found
+        out = [(a, b) for a, b in zip(pairs["a"], pairs["b"]) if a in sets and b in sets and similar(sets[a], sets[b], percent)]
+        return pd.DataFrame(out, columns=["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInPandas(run, "a binary, b binary")
+    return cells.groupBy("cell").cogroup(there.groupBy("home")).applyInPandas(run, "a binary, b binary")
 
 
 def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, first: int | None) -> DataFrame:
@@ -237,7 +238,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     leaders = buckets.groupBy("band", "key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     placed = stage(buckets.join(leaders, ["band", "key"]), "buckets")
     ids = nodes.select("node", "doc_id")
-    star = placed.where("node != a").select("a", F.col("node").alias("b")).distinct()
+    star = stage(placed.where("node != a").select("a", F.col("node").alias("b")).distinct(), "star")
     links = stage(confirmed(star, ids, docs, percent), "links")
     labels = components(links)
     for first in (FIRST, None):

@@ -88,7 +88,7 @@ class Distance:
             data = b" " + window.encode() + self.anchor
             return len(first(data)) - len(second(data))
 
-        self._saved = WordCache(saved, 300_000)
+        self._saved = WordCache(saved, 60_000)
 
     def features(self, text: str) -> list[float]:
         """Logarithms of how many windows save at least so many bytes, the most, and a share."""
@@ -199,11 +199,15 @@ def kept(docs: DataFrame, model: Distance, threshold: float = THRESHOLD) -> Data
     def arrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model.open()
         weights = np.array(model.weights)
-        for batch in batches:
-            if len(weights) > 1 and batch.num_rows:
-                x = np.array([model.features(t or "") for t in batch.column("text").to_pylist()])
-                batch = batch.filter(pa.array(sigmoid(x @ weights[:-1] + weights[-1]) < threshold))
-            yield batch
+        for whole in batches:
+            # A few rows at a time: texts are long, and their Python copies longer.
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                if len(weights) > 1:
+                    x = np.array([model.features(t or "") for t in batch.column("text").to_pylist()])
+                    batch = batch.filter(pa.array(sigmoid(x @ weights[:-1] + weights[-1]) < threshold))
+                yield batch
+        model._saved.forget()
 
     return docs.mapInArrow(arrow, docs.schema)
 

@@ -23,6 +23,11 @@ class WordCache(dict):
         self[word] = found
         return found
 
+    def forget(self) -> None:
+        """Call when a partition ends: other stages of the same worker need the memory."""
+        self.clear()
+        self.old = {}
+
     def turn(self) -> None:
         """Call between batches: starts a new generation if this one is full."""
         if len(self) > self.limit:
