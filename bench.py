@@ -18,13 +18,13 @@ HEADLINE = (
     "window_features",
     "pos_shares",
     "bigram_perplexity",
+    "kneser_ney",
     "stratified_split",
     "grouped_split",
     "evaluate_models",
     "fragility",
     "stream_features",
     "expert_scores",
-    "meta_scores",
 )
 
 

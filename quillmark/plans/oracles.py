@@ -553,6 +553,30 @@ def kneser_ney_sql(source: str) -> str:
     SELECT doc_id, sentence_index, {window(0)}, {window(1)}, {window(2)} FROM sums"""
 
 
+def language_model_sql() -> str:
+    """Trigram counts of held-in documents, one log probability for each, sums per document."""
+    log = "CAST(round(1000000.0::DOUBLE * ln({})) AS BIGINT)"
+    return f"""WITH d AS (SELECT doc_id, text, lang, {row_hash(['doc_id'], 42, 'language')} % 4 = 0 AS held_out FROM documents),
+    w AS (SELECT doc_id, lang, held_out, ' ' || unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) || ' ' AS w FROM d),
+    wn AS (SELECT doc_id, lang, held_out, w, count(*) AS n FROM w GROUP BY ALL),
+    wg AS (SELECT w, substring(w, i, 3) AS gram
+           FROM (SELECT w, unnest(range(1, length(w) - 1)) AS i FROM (SELECT DISTINCT w FROM w))),
+    shares AS (SELECT lang, count(*)::DOUBLE AS docs, sum(count(*)) OVER ()::DOUBLE AS every FROM d
+               WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang),
+    counts AS (SELECT lang, gram, sum(n) AS n FROM wn JOIN wg USING (w) WHERE NOT held_out AND lang IS NOT NULL GROUP BY lang, gram),
+    kinds AS (SELECT count(DISTINCT gram) AS kinds FROM counts),
+    below AS (SELECT lang, docs, every, coalesce(sum(n), 0) + 0.5::DOUBLE * (any_value(kinds) + 1.0::DOUBLE) AS below
+              FROM shares LEFT JOIN counts USING (lang) CROSS JOIN kinds GROUP BY lang, docs, every),
+    words AS (SELECT w, lang, sum({log.format('(coalesce(n, 0) + 0.5::DOUBLE) / below')}) AS lp
+              FROM wg CROSS JOIN below LEFT JOIN counts USING (lang, gram) GROUP BY w, lang),
+    scored AS (SELECT doc_id, words.lang, sum(n * lp) AS lp FROM wn JOIN words USING (w) GROUP BY doc_id, words.lang),
+    ranked AS (SELECT d.doc_id, held_out, below.lang, coalesce(lp, 0) + {log.format('docs / every')} AS lp
+               FROM d CROSS JOIN below LEFT JOIN scored ON scored.doc_id = d.doc_id AND scored.lang = below.lang)
+    SELECT doc_id, any_value(held_out) AS held_out, arg_min(lang, place) AS language,
+           CAST(max(lp) - max(lp) FILTER (WHERE place = 2) AS BIGINT) AS margin
+    FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, lang) AS place FROM ranked) GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     turns_matrix = ", ".join(
         f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS {c}"
@@ -589,6 +613,7 @@ def oracle_sql() -> dict[str, str]:
         "text_features": features_sql(TURNS, ("label",)),
         "bigram_perplexity": f"WITH {bigram_ctes(DOCS)} SELECT * FROM ppl",
         "kneser_ney": kneser_ney_sql(DOCS),
+        "language_model": language_model_sql(),
         "assemble_features": f"""WITH {bigram_ctes(TURNS)}, {language_ctes()}, {windows_cte()},
             feats AS (SELECT doc_id, sentence_index, {each(lexical_cols)}, {each(length_cols)} FROM wins)
             SELECT f.*, p.* EXCLUDE (doc_id, sentence_index), d.label, l.language, {language_id('l.language')} AS language_id

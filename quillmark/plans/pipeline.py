@@ -29,6 +29,8 @@ from quillmark.sources.tables import now, read_json, write_json, write_report
 KEYS = ["doc_id", "sentence_index"]
 PHASES = ("prepare", "experts", "features", "meta", "evaluate")
 VERSION = "1.0.0"
+#: Documents up to which all chunks are written at once.
+SMALL = 50_000
 
 
 class Detector:
@@ -229,8 +231,11 @@ class PipelineRun:
             return found.withColumn("chunk", chunk_of("doc_id", s.feature.chunks))
 
         # Chunks make the run restartable; the key anti-join heals any gap.
+        # A small corpus is one commit: its chunks take less time than noting them.
+        small = self.table("documents").count() <= SMALL
         done = process_remaining(
-            docs, f"{self.path}/chunks", extract, chunks=s.feature.chunks, resume=self.resume
+            docs, f"{self.path}/chunks", extract, chunks=s.feature.chunks, resume=self.resume,
+            per_commit=s.feature.chunks if small else 16,
         )
         # Every chosen row must have been measured; none may get lost unseen.
         missing = chosen.join(done.select(*KEYS), KEYS, "left_anti").count()

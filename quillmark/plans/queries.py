@@ -15,8 +15,9 @@ from quillmark.config import (
 )
 from quillmark.functions import text as T
 from quillmark.functions.features import WindowCounts, punctuation, sentence_stats
+from quillmark.functions.hashing import row_hash
 from quillmark.functions.language import language_id
-from quillmark.operators import corpus, experts, kneser_ney, lm, meta, metrics, sampling
+from quillmark.operators import corpus, experts, kneser_ney, language_model, lm, meta, metrics, sampling
 from quillmark.operators.batches import apply_batches
 from quillmark.operators.windows import (
     assemble_features,
@@ -247,6 +248,14 @@ def q_bigram_perplexity(spark, sf):
     return rounded(lm.window_perplexity(docs, lm.train_bigrams(docs)), 4)
 
 
+def q_language_model(spark, sf):
+    """Language of every document, learned from those outside one fold of four."""
+    docs = spread(_table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
+    held_out = row_hash(["doc_id"], 42, "language") % 4 == 0
+    found = language_model.identify(docs, language_model.train(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "language", "margin")
+
+
 def q_kneser_ney(spark, sf):
     """Window perplexity of all documents under a smoothed trigram model of them."""
     docs = _documents(spark, sf)
