@@ -577,6 +577,52 @@ def language_model_sql() -> str:
     FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, lang) AS place FROM ranked) GROUP BY doc_id"""
 
 
+def sentence_model_ctes(source: str) -> str:
+    """CTEs up to ``short`` and ``starters``(word, score) over ``tok``(doc_id, place, token, next)."""
+
+    def base(x: str) -> str:
+        return f"regexp_replace(lower({x}), '\\.$', '')"
+
+    def share(n: str, p: str) -> str:
+        return f"CASE WHEN {n} = 0 THEN 0::DOUBLE ELSE {n} * ln({p}) END"
+
+    return f"""docs AS ({source}), cleaned AS (SELECT doc_id, {clean('text')} AS clean FROM docs),
+    listed AS (SELECT doc_id, list_filter(string_split(clean, ' '), lambda w: w <> '') AS l FROM cleaned),
+    tok AS (SELECT doc_id, place, l[place + 1] AS token, l[place + 2] AS next
+            FROM (SELECT doc_id, l, CAST(unnest(range(len(l))) AS INTEGER) AS place FROM listed)),
+    counts AS (SELECT {base('token')} AS word, (count(*) FILTER (WHERE token LIKE '%.'))::DOUBLE AS a,
+                      (count(*) FILTER (WHERE token NOT LIKE '%.'))::DOUBLE AS b FROM tok GROUP BY 1),
+    chance AS (SELECT sum(a) / sum(a + b) AS s FROM counts),
+    evidence AS (
+        SELECT word, -2 * (({share('a', 's')}) + ({share('b', '1 - s')}) - (({share('a', '0.99::DOUBLE')}) + ({share('b', '1 - 0.99::DOUBLE')})))
+            * exp(-letters) * (length(word) - letters + 1) * pow(letters, -b) AS score
+        FROM (SELECT *, length(replace(word, '.', ''))::DOUBLE AS letters FROM counts CROSS JOIN chance
+              WHERE a > 0 AND regexp_matches(word, '^\\p{{L}}[\\p{{L}}.-]*$'))),
+    short AS (SELECT word, score FROM evidence WHERE score >= 0.3),
+    after AS (SELECT {base('next')} AS word, count(*)::DOUBLE AS ab FROM tok
+              WHERE regexp_matches(token, '[.!?]$') AND NOT regexp_matches(token, '^[0-9.,]+\\.$') AND next IS NOT NULL
+                AND {base('token')} NOT IN (SELECT word FROM short) GROUP BY 1),
+    sums AS (SELECT (SELECT sum(ab) FROM after) AS a, (SELECT count(*) FROM tok)::DOUBLE AS n),
+    sides AS (SELECT word, ab, after.ab / sums.a AS p1, sums.a AS a, n, counts.a + counts.b AS b FROM after JOIN counts USING (word) CROSS JOIN sums),
+    places AS (SELECT *, b / n AS p, (b - ab) / greatest(n - a, 1) AS p2, n - a - b + ab AS rest FROM sides),
+    starters AS (SELECT * FROM (
+        SELECT word, -2 * (({share('ab', 'p')}) + ({share('(a - ab)', '1 - p')}) + ({share('(b - ab)', 'p')}) + ({share('rest', '1 - p')})
+            - (({share('ab', 'p1')}) + ({share('(a - ab)', '1 - p1')}) + ({share('(b - ab)', 'p2')}) + ({share('rest', '1 - p2')}))) AS score
+        FROM places WHERE regexp_matches(word, '^\\p{{L}}') AND ab / b > a / n) WHERE score >= 30)"""
+
+
+def sentence_ends_sql(source: str) -> str:
+    return f"""WITH {sentence_model_ctes(source)},
+    marked AS (SELECT t.*, s.word IS NOT NULL OR regexp_matches(token, '^\\p{{Lu}}\\.$') AS held,
+                      f.word IS NOT NULL AND regexp_matches(next, '^\\p{{Lu}}') AS starts
+               FROM tok t LEFT JOIN short s ON s.word = regexp_replace(lower(token), '\\.$', '')
+               LEFT JOIN starters f ON f.word = regexp_replace(lower(next), '\\.$', '')
+               WHERE regexp_matches(token, '[.!?]$') OR next IS NULL),
+    done AS (SELECT doc_id FROM marked WHERE CASE WHEN next IS NULL OR token NOT LIKE '%.' THEN true WHEN held THEN starts
+                 ELSE NOT (regexp_matches(token, '^[0-9.,]+\\.$') AND regexp_matches(next, '^\\p{{Ll}}')) END)
+    SELECT docs.doc_id, count(done.doc_id) AS sentences FROM docs LEFT JOIN done USING (doc_id) GROUP BY docs.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
     turns_matrix = ", ".join(
         f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS {c}"
@@ -614,6 +660,10 @@ def oracle_sql() -> dict[str, str]:
         "bigram_perplexity": f"WITH {bigram_ctes(DOCS)} SELECT * FROM ppl",
         "kneser_ney": kneser_ney_sql(DOCS),
         "language_model": language_model_sql(),
+        "sentence_model": f"""WITH {sentence_model_ctes(DOCS)}
+            SELECT 'abbreviation' AS kind, word, round(score, 4) AS score FROM short
+            UNION ALL SELECT 'starter', word, round(score, 4) FROM starters""",
+        "sentence_ends": sentence_ends_sql(DOCS),
         "assemble_features": f"""WITH {bigram_ctes(TURNS)}, {language_ctes()}, {windows_cte()},
             feats AS (SELECT doc_id, sentence_index, {each(lexical_cols)}, {each(length_cols)} FROM wins)
             SELECT f.*, p.* EXCLUDE (doc_id, sentence_index), d.label, l.language, {language_id('l.language')} AS language_id

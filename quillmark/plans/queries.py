@@ -17,7 +17,7 @@ from quillmark.functions import text as T
 from quillmark.functions.features import WindowCounts, punctuation, sentence_stats
 from quillmark.functions.hashing import row_hash
 from quillmark.functions.language import language_id
-from quillmark.operators import corpus, experts, kneser_ney, language_model, lm, meta, metrics, sampling
+from quillmark.operators import corpus, experts, kneser_ney, language_model, lm, meta, metrics, sampling, sentence_model
 from quillmark.operators.batches import apply_batches
 from quillmark.operators.windows import (
     assemble_features,
@@ -248,6 +248,20 @@ def q_bigram_perplexity(spark, sf):
     return rounded(lm.window_perplexity(docs, lm.train_bigrams(docs)), 4)
 
 
+def q_sentence_model(spark, sf):
+    """Abbreviations and sentence starters found in all documents, with their scores."""
+    model = sentence_model.train(_documents(spark, sf))
+    parts = (("abbreviation", model.abbreviations), ("starter", model.starters))
+    a, b = (t.select(F.lit(kind).alias("kind"), "word", F.round("score", 4).alias("score")) for kind, t in parts)
+    return a.unionByName(b)
+
+
+def q_sentence_ends(spark, sf):
+    """How many sentences every document has by the model of all documents."""
+    docs = _documents(spark, sf)
+    return sentence_model.sentence_counts(docs, sentence_model.train(docs))
+
+
 def q_language_model(spark, sf):
     """Language of every document, learned from those outside one fold of four."""
     docs = spread(_table(spark, sf, "documents").select("doc_id", "text", "lang"), "doc_id")
