@@ -4,6 +4,8 @@ Quality and toxicity drop the documents they reject, near-dedup keeps one docume
 each group, secret scans mask what they find, and packing lays the token sequences of
 what is left out. Every stage but the last returns the columns of its input.
 
+The stages bound the Arrow batches of their session (``BATCH_ROWS``).
+
 Null texts count as empty, rows without an id are never linked with others, and an empty
 input passes through every stage.
 """
@@ -17,14 +19,25 @@ from pyspark.sql import DataFrame, SparkSession
 from quillmark.llm import minhash, packing, quality, secret_scan, toxicity
 from quillmark.llm.common import read, stage
 
+#: Rows of whole texts that travel to a Python worker at once; 10,000, the default, can take
+#: hundreds of megabytes in each worker and its executor.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on the session sends texts to Python workers in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field rates at least 0.7."""
+    small_batches(spark)
     return quality.kept(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
 def harmless_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below 0.7."""
+    small_batches(spark)
     return toxicity.kept(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
@@ -33,6 +46,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Only ids of documents that go meet the texts. Of rows that repeat an id one stays.
     """
+    small_batches(spark)
     groups = stage(minhash.near_duplicates(docs), "groups")
     gone = groups.where("NOT kept").select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -49,6 +63,7 @@ def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and place."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 
