@@ -18,7 +18,8 @@ from tests.corpora import letters
 
 SETTINGS = Settings(
     expert=ExpertSettings(num_features=1 << 10, max_iter=5, reg_params=(0.01, 0.1), folds=2),
-    meta=MetaSettings(trials=2, max_depth=(2, 3), rounds=(2, 4), round_step=2, rungs=(2,)),
+    # So few trees have to take large steps away from the share of the label.
+    meta=MetaSettings(trials=2, max_depth=(2, 3), learning_rate=(0.5, 0.9), rounds=(2, 4), round_step=2, rungs=(2,)),
     feature=FeatureSettings(sample_from_train=60, chunks=4),
 )
 
