@@ -3,22 +3,23 @@
 The program has one variable per pattern (a multiset of lengths that fits a sequence)
 and one covering row per length. It is solved by multiplicative weights: each step prices
 lengths, finds the best pattern by an unbounded-knapsack dynamic program over the
-capacity, and raises the price of what that pattern covers too seldom. Patterns are then
-rounded down against the histogram; what remains is solved again and, once it is small,
-put into the fullest sequence it fits.
+capacity, and lowers the price of what the patterns bought cover; the prices also bound
+the number of sequences from below. Patterns are then rounded down against the histogram;
+what remains is priced again and, once it is small, put into the fullest sequence it fits.
 
-Only the histogram (at most ``capacity`` rows) and the plan reach the driver. The plan
-has a bounded number of rows, because every round keeps at most ``steps`` patterns and
-leaves the rest to the next round. Pieces find their place by their rank within their
+Only the histogram (at most ``capacity`` rows) and the plan reach the driver. Patterns
+are counted, not listed, so the plan does not grow with the pieces. Pieces find their place by their rank within their
 length, counted per partition and summed over partitions.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,7 @@ from quillmark.llm.word_cache import WordCache
 
 CAPACITY = 2048
 END = 0
+PATIENCE = 40
 VOCABULARY = "byte_bpe_50k.json"
 PIECES = (
     "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, row bigint"
@@ -143,49 +145,111 @@ def pieces(
 # ---------------------------------------------------------------- the linear program
 
 
-def price_patterns(price: np.ndarray, capacity: int) -> np.ndarray:
-    """Unbounded knapsack by dynamic programming over the capacity.
+def price_patterns(price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack by dynamic programming over the capacity: (value, taken).
 
-    ``taken[c]`` is a length that an optimal multiset for capacity c holds, 0 for waste;
-    following it from c to ``c - taken[c]`` gives the multiset.
+    ``taken[c]`` is a length that an optimal multiset for capacity c holds, 0 if there is
+    none; ``value[c]`` is what that multiset is worth.
     """
     lengths = np.flatnonzero(price > 0)
     gain, ends = price[lengths], np.searchsorted(lengths, np.arange(capacity + 1), "right")
     value = np.zeros(capacity + 1)
     taken = np.zeros(capacity + 1, int)
+    waste = np.zeros(capacity + 1, int)
     for c in range(1, capacity + 1):
         n = ends[c]
-        value[c] = value[c - 1]
+        value[c], taken[c], waste[c] = value[c - 1], taken[c - 1], waste[c - 1] + 1
         if n:
             total = value[c - lengths[:n]]
             total += gain[:n]
             k = total.argmax()
             if total[k] > value[c]:
-                value[c], taken[c] = total[k], lengths[k]
-    return taken
+                value[c], taken[c], waste[c] = total[k], lengths[k], 0
+    return value, np.stack([taken, waste])
 
 
 def pattern_with(length: int, taken: np.ndarray) -> dict[int, int]:
     """The best pattern that holds ``length``: counts by length."""
-    counts, c = {length: 1}, len(taken) - 1 - length
-    while c > 0:
-        if taken[c]:
-            counts[int(taken[c])] = counts.get(int(taken[c]), 0) + 1
-            c -= taken[c]
-        else:
-            c -= 1
+    first, waste = taken
+    counts, c = {length: 1}, len(first) - 1 - length
+    while first[c]:
+        l = int(first[c])
+        counts[l] = counts.get(l, 0) + 1
+        c -= int(waste[c]) + l
     return counts
 
 
-def solve(stock: np.ndarray, capacity: int, steps: int, pace: float = 0.3, rate: float = 0.002) -> list[tuple[dict[int, int], float]]:
-    """Patterns and how often to use each, as fractions, by multiplicative weights.
+@dataclass
+class Solution:
+    """Of the configuration program: patterns with their uses, prices, and both values."""
 
-    Where nearly all space can be filled, the dual prices are nearly the lengths. So
-    prices start there and are multiplied by ``exp(-rate * covered share)``. Each step
-    prices patterns by one dynamic program and buys, for every length from the least
-    covered on, the best pattern that holds it, for at most ``pace`` of what it still lacks.
+    patterns: list[tuple[dict[int, int], float]]
+    price: np.ndarray
+    primal: float
+    dual: float
+
+
+def solve(
+    stock: np.ndarray, capacity: int, upper: float = math.inf, steps: int = 240, width: float = 0.5, slack: float = 0.001, gap: float = 0.0004
+) -> Solution:
+    """The configuration program by multiplicative weights.
+
+    Prices start at the lengths, which is the optimum where all space can be filled. A
+    step prices patterns by one dynamic program, buys those within ``slack`` of the best
+    value until each length is covered at most once, and multiplies the price of a length
+    by ``exp(-rate * covered share)``; nothing is taken back, so prices move as far as
+    they have to. ``rate`` falls from ``width`` on with the root of the steps. ``dual`` is
+    the best bound that any step's prices give. Patterns are averaged over the second
+    half of the steps; ``primal`` is their number if every length is covered once. It
+    ends early when both are ``gap`` apart, or ``dual`` that near to ``upper``, the number
+    of sequences of a plan that is known already; also when the bound has not risen for
+    ``PATIENCE`` steps and that plan is within half a percent of it.
     """
     lengths = np.arange(len(stock))
+    live = stock > 0
+    price = np.where(live, lengths / capacity, 0.0)
+    covered, spent, dual, best_price = np.zeros(len(stock)), 0.0, 0.0, price
+    bought: dict[tuple, list] = {}
+    primal, gained = math.inf, 0
+    for step in range(steps):
+        if step in (steps // 8, steps // 2):  # what early prices bought is no part of the average
+            covered, spent, bought = np.zeros(len(stock)), 0.0, {}
+        value, taken = price_patterns(price, capacity)
+        bound = float(stock @ price / value[capacity])
+        if bound > dual * (1 + gap):
+            gained = step
+        if bound > dual:
+            dual, best_price = bound, price / value[capacity]
+        worth = np.where(live, price + value[capacity - np.minimum(lengths, capacity)], 0.0)
+        got = np.zeros(len(stock))
+        for l in np.argsort(-worth, kind="stable"):
+            if worth[l] < (1 - slack) * value[capacity] or not live[l]:
+                break
+            counts = pattern_with(int(l), taken)
+            times = min((stock[j] - got[j]) / n for j, n in counts.items())
+            if times > 1e-9:
+                for j, n in counts.items():
+                    got[j] += n * times
+                spent += times
+                bought.setdefault(tuple(sorted(counts.items())), [counts, 0.0])[1] += times
+        covered += got
+        price = np.where(live, price * np.exp(-width / math.sqrt(1 + step) * got / np.maximum(stock, 1)), 0.0)
+        price = price / price.max()
+        least = (covered[live] / stock[live]).min()
+        if least > 0:
+            primal = spent / least
+        if min(primal, upper) <= dual * (1 + gap) or (step - gained > PATIENCE and upper <= dual * 1.005):
+            break
+    middle = float(np.average(covered[live] / stock[live], weights=stock[live])) or 1.0
+    return Solution([(c, t / middle) for c, t in bought.values()], best_price, primal, dual)
+
+
+def buy(stock: np.ndarray, capacity: int, price: np.ndarray, steps: int, pace: float = 0.3, rate: float = 0.002) -> list[tuple[dict[int, int], float]]:
+    """Patterns for all of the stock near the given prices, each with how often to use it.
+
+    A few steps of the same weights: each buys, for every length from the least covered
+    on, the best pattern that holds it, for at most ``pace`` of what it still lacks.
+    """
     covered = np.zeros(len(stock))
     bought: dict[tuple, list] = {}
     for _ in range(steps):
@@ -193,7 +257,7 @@ def solve(stock: np.ndarray, capacity: int, steps: int, pace: float = 0.3, rate:
         live = (stock > 0) & (share < 0.999)
         if not live.any():
             break
-        taken = price_patterns(np.where(live, lengths * np.exp(-rate * share), 0.0), capacity)
+        _, taken = price_patterns(np.where(live, price * np.exp(-rate * share), 0.0), capacity)
         for l in sorted(np.flatnonzero(live), key=lambda l: (share[l], -l)):
             counts = pattern_with(int(l), taken)
             times = min((stock[j] - covered[j]) / n * (pace if j == l else 1.0) for j, n in counts.items())
@@ -204,55 +268,85 @@ def solve(stock: np.ndarray, capacity: int, steps: int, pace: float = 0.3, rate:
     return [(counts, times) for counts, times in bought.values()]
 
 
-def fit_rest(stock: np.ndarray, capacity: int) -> list[dict[int, int]]:
-    """Best fit, longest first, over a small stock: one pattern per sequence."""
-    room: list[list[int]] = [[] for _ in range(capacity + 1)]
-    bins: list[dict[int, int]] = []
-    filled = 0  # bit r: there is a sequence with room r
+def best_fit(stock: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best fit, longest first: (counts by length, number of sequences).
+
+    Sequences with the same content are one group, and pieces of one length fill a group
+    at once: the fullest sequence that a piece fits stays the fullest for the next one
+    until it is full. So the work grows with the lengths, not with the pieces.
+    """
+    room: list[list[tuple[dict[int, int], int]]] = [[] for _ in range(capacity + 1)]
+    room[capacity].append(({}, int(stock.sum())))
+    filled = 1 << capacity  # bit r: there is a group with room r
     for l in range(len(stock) - 1, 0, -1):
-        for _ in range(int(stock[l])):
+        left = int(stock[l])
+        while left:
             fitting = filled >> l
-            if fitting:
-                left = l + (fitting & -fitting).bit_length() - 1
-                k = room[left].pop()
-                if not room[left]:
-                    filled ^= 1 << left
-            else:
-                bins.append({})
-                k, left = len(bins) - 1, capacity
-            bins[k][l] = bins[k].get(l, 0) + 1
-            room[left - l].append(k)
-            filled |= 1 << (left - l)
-    return bins
+            r = l + (fitting & -fitting).bit_length() - 1
+            counts, n = room[r].pop()
+            each = min(r // l, left)
+            used = min(n, left // each)
+            if n > used:
+                room[r].append((counts, n - used))
+            if not room[r]:
+                filled ^= 1 << r
+            room[r - each * l].append(({**counts, l: each}, used))
+            filled |= 1 << (r - each * l)
+            left -= each * used
+    return [(counts, n) for groups in room for counts, n in groups if counts]
+
+
+def place(stock: np.ndarray, patterns: list[tuple[dict[int, int], float]]) -> list[tuple[dict[int, int], int]]:
+    """Patterns rounded down against the stock, which shrinks by what they hold."""
+    out = []
+    for counts, times in sorted(patterns, key=lambda p: -p[1]):
+        n = min([int(times + 1e-9), *(int(stock[j] // k) for j, k in counts.items())])
+        if n > 0:
+            out.append((counts, n))
+            for j, k in counts.items():
+                stock[j] -= n * k
+    return out
+
+
+def round_down(stock: np.ndarray, capacity: int, price: np.ndarray, steps: int, small: int) -> list[tuple[dict[int, int], int]]:
+    """All of the stock at the given prices: rounds of buying and rounding down, then best fit.
+
+    Rounds go on while more than ``small`` pieces are left and one places a third of them.
+    """
+    out: list[tuple[dict[int, int], int]] = []
+    while stock.sum() > small:
+        before = stock.sum()
+        out += place(stock, buy(stock, capacity, price, steps))
+        if stock.sum() > 0.7 * before:
+            break
+    return out + best_fit(stock, capacity)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = 12, small: int = 4000) -> list[tuple[dict[int, int], int]]:
     """(counts by length, number of sequences) that use up the histogram exactly.
 
-    Rounds go on while more than ``small`` pieces are left and rounding down places some.
-    What is never placed is less than one sequence for each pattern of a round.
+    The solution of the program is rounded in two ways, by its patterns and by its prices
+    alone, and so are prices left at the lengths, where its steps start. The plan with the
+    fewest sequences is taken, never more than best fit makes.
     """
     stock = np.zeros(capacity + 1, np.int64)
     for l, n in histogram.items():
         stock[l] = n
-    out: list[tuple[dict[int, int], int]] = []
-    if stock[capacity]:
-        out.append(({capacity: 1}, int(stock[capacity])))
-        stock[capacity] = 0
-    while stock.sum() > small:
-        before = stock.sum()
-        for counts, times in solve(stock, capacity, steps):
-            n = min([int(times + 1e-9), *(int(stock[j] // k) for j, k in counts.items())])
-            if n > 0:
-                out.append((counts, n))
-                for j, k in counts.items():
-                    stock[j] -= n * k
-        if stock.sum() > 0.7 * before:
-            break
-    grouped: dict[tuple, list] = {}
-    for counts in fit_rest(stock, capacity):
-        grouped.setdefault(tuple(sorted(counts.items())), [counts, 0])[1] += 1
-    return out + [(counts, n) for counts, n in grouped.values()]
+    full = [({capacity: 1}, int(stock[capacity]))] if stock[capacity] else []
+    stock[capacity] = 0
+    number = lambda chosen: sum(n for _, n in chosen)
+    lengths = np.arange(capacity + 1) / capacity
+    plans = [best_fit(stock, capacity)]
+    # Nothing can be gained where best fit meets the bound of the lengths.
+    if number(plans[0]) > math.ceil(stock @ lengths):
+        plans.append(round_down(stock.copy(), capacity, lengths, steps, small))
+        found = solve(stock, capacity, min(map(number, plans)))
+        if min(map(number, plans)) > found.dual * 1.0004:
+            plans.append(round_down(stock.copy(), capacity, found.price, steps, small))
+            rest = stock.copy()
+            placed = place(rest, found.patterns)
+            plans.append(placed + round_down(rest, capacity, found.price, steps, small))
+    return full + min(plans, key=number)
 
 
 def places(chosen: list[tuple[dict[int, int], int]]) -> pd.DataFrame:

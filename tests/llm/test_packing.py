@@ -38,12 +38,79 @@ def test_cut():
 def test_knapsack_finds_the_best_pattern():
     price = np.zeros(13)
     price[[3, 5, 7]] = [3.1, 5.3, 7.2]
-    taken = packing.price_patterns(price, 12)
+    value, taken = packing.price_patterns(price, 12)
+    assert value[12] == pytest.approx(12.5)
     counts = packing.pattern_with(7, taken)
     assert counts == {7: 1, 5: 1}
     assert sum(k * n for k, n in packing.pattern_with(3, taken).items()) <= 12
 
 
+def stocked(histogram, capacity=2048):
+    stock = np.zeros(capacity + 1, np.int64)
+    for l, n in histogram.items():
+        stock[l] = n
+    return stock
+
+
+def number(chosen):
+    return sum(n for _, n in chosen)
+
+
+def test_the_program_is_solved_where_best_fit_is_not_enough():
+    # 10,125: 4,500 of 683+683+682, 2,250 of 684+682+682 and 3,375 of 684+684.
+    histogram = {682: 9000, 683: 9000, 684: 9000}
+    found = packing.solve(stocked(histogram), 2048)
+    assert found.dual <= 10_125 + 1e-6 <= found.primal + 1
+    assert found.primal / found.dual < 1.001
+    assert number(packing.plan(histogram)) <= 10_130
+    assert number(packing.best_fit(stocked(histogram), 2048)) == 10_500
+
+
+def test_prices_are_a_bound_for_every_plan():
+    chance = random.Random(8)
+    for _ in range(5):
+        histogram = {chance.randint(2, 20): chance.randint(1, 60) for _ in range(4)}
+        found = packing.solve(stocked(histogram, 20), 20)
+        value, _ = packing.price_patterns(found.price, 20)
+        assert value[20] <= 1 + 1e-9
+        assert found.dual <= number(packing.plan(histogram, 20)) + 1e-6
+
+
+@pytest.mark.parametrize("name", ["three", "humps", "flat"])
+def test_never_more_than_best_fit(name):
+    chance = np.random.default_rng(4)
+    histogram = {
+        "three": {682: 900, 683: 900, 684: 900},
+        "humps": collections.Counter([*chance.integers(1025, 2048, 4000).tolist(), *chance.integers(5, 901, 3000).tolist()]),
+        "flat": {l: 10 for l in range(1, 2048)},
+    }[name]
+    chosen = packing.plan(histogram)
+    used = collections.Counter()
+    for counts, n in chosen:
+        assert sum(l * k for l, k in counts.items()) <= 2048
+        for l, k in counts.items():
+            used[l] += k * n
+    assert used == collections.Counter(histogram)
+    assert number(chosen) <= number(packing.best_fit(stocked(histogram), 2048))
+
+
+def test_grouped_best_fit_is_best_fit_piece_by_piece():
+    chance = random.Random(9)
+    for _ in range(200):
+        histogram = {chance.randint(1, 30): chance.randint(1, 9) for _ in range(8)}
+        rooms = []
+        for l in sorted(histogram, reverse=True):
+            for _ in range(histogram[l]):
+                fitting = [k for k, r in enumerate(rooms) if r >= l]
+                if fitting:
+                    rooms[min(fitting, key=rooms.__getitem__)] -= l
+                else:
+                    rooms.append(30 - l)
+        chosen = packing.best_fit(stocked(histogram, 30), 30)
+        assert number(chosen) == len(rooms)
+        assert sorted(rooms) == sorted(30 - sum(l * k for l, k in c.items()) for c, n in chosen for _ in range(n))
+
+
 @pytest.mark.parametrize("n", [0, 1, 50, 30_000])
 def test_plan_uses_up_the_histogram_near_the_bound(n):
     chance = np.random.default_rng(n)
