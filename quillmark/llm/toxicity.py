@@ -39,9 +39,11 @@ from quillmark.llm.common import (
 )
 from quillmark.llm.word_cache import WordCache
 
-#: Bounds of the training sample: documents and ordinary windows, and toxic segments kept.
+#: Bounds of the training sample: documents, ordinary pieces of lines and their characters,
+#: and toxic segments kept.
 PER_CLASS = 2500
 WINDOWS = 4000
+LINE = 400
 SEGMENTS = 400
 #: Contexts that a segment needs, as a share of the toxic documents, and how many times
 #: more frequent than in ordinary documents it has to be.
@@ -152,9 +154,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Distance:
     """
     chosen = sampled_labels(docs, labels, "toxic", FOLDS, HELD, PER_CLASS)
     rows = stage(with_labels(docs, chosen), "toxic")
-    ordinary = rows.where("y = 0").select(
-        F.explode(F.split(F.lower("text"), "\n")).alias("line")
-    ).where("length(line) > 40").select(F.substring("line", 1, 400).alias("line")).distinct()
+    ordinary = rows.where("y = 0").select(F.explode(F.split(F.lower("text"), "\n")).alias("line")).where("line != ''")
+    # Long lines are cut into consecutive pieces.
+    cut = f"transform(sequence(0, (length(line) - 1) div {LINE}), i -> substring(line, CAST(i * {LINE} + 1 AS INT), {LINE}))"
+    ordinary = ordinary.select(F.explode(F.expr(cut)).alias("line")).distinct()
     lines = [r.line for r in ordinary.orderBy(F.xxhash64("line"), "line").limit(WINDOWS).collect()]
     plain = dictionary([(" " + x).encode() for x in lines], DICTIONARY)
     anchor = (" " + " ".join(lines)).ljust(65)[:65].encode()
