@@ -265,7 +265,7 @@ def enlarged(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold
             return known
         known = known.unionByName(frontier)
         tried = tried.unionByName(seen.select("a", "b"))
-    return known
+    raise RuntimeError(f"links of links were still found after {rounds} rounds")
 
 
 def audit(links: DataFrame, nodes: DataFrame, threshold: float, n: int = AUDIT) -> float:
