@@ -60,11 +60,16 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?=[\s=/>]|$)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _WORDS = re.compile(r"[a-z]+")
+#: An element with more than this share of a page's text is no boilerplate by its name;
+#: on pages with and without articles.
+MOST, NEARLY_ALL = 0.6, 0.85
 N_FEATURES = 15
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "boiler", "content", "hidden", "named_boiler", "named_content", "link", "head")
+    """An element with what its own name and attributes say, and what that comes to below."""
+
+    __slots__ = ("tag", "parent", "depth", "own_boiler", "own_content", "own_named_boiler", "own_named_content", "boiler", "content", "named_boiler", "named_content", "hidden", "link", "head", "held", "articles")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str):
         self.tag, self.parent = tag, parent
@@ -72,26 +77,64 @@ class Element:
         self.hidden = tag in HIDDEN or bool(parent and parent.hidden)
         self.link = tag == "a" or bool(parent and parent.link)
         self.head = (len(tag) == 2 and tag[0] == "h" and tag[1] in "123456") or bool(parent and parent.head)
-        # What a boilerplate element holds stays boilerplate, inside an article as well.
-        self.boiler = tag in BOILER_TAGS or (tag == "header" and not (parent and parent.content)) or bool(parent and parent.boiler)
-        self.content = tag in CONTENT_TAGS or bool(parent and parent.content)
-        self.named_boiler = bool(parent and parent.named_boiler)
-        self.named_content = bool(parent and parent.named_content)
+        self.own_boiler = tag in BOILER_TAGS
+        self.own_content = tag in CONTENT_TAGS
+        self.own_named_boiler = self.own_named_content = False
+        self.boiler = self.content = self.named_boiler = self.named_content = False
+        self.held = self.articles = 0
         if attributes and tag not in ("html", "body"):
             for name, value in _ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), value.strip("\"'").lower()
                 if name in ("class", "id"):
                     words = set(_WORDS.findall(value))
-                    self.named_boiler |= bool(words & BOILER_WORDS)
-                    self.named_content |= bool(words & CONTENT_WORDS)
+                    self.own_named_boiler |= bool(words & BOILER_WORDS)
+                    self.own_named_content |= bool(words & CONTENT_WORDS)
                 elif name == "role":
-                    self.boiler |= value in BOILER_ROLES
-                    self.content |= value in ("main", "article")
+                    self.own_boiler |= value in BOILER_ROLES
+                    self.own_content |= value in ("main", "article")
                 elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                     self.hidden = True
                 elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                     self.hidden = True
 
+    def place(self, total: int, articles: int) -> None:
+        """Hints from the elements around, outermost first.
+
+        What a boilerplate element holds stays boilerplate, inside an article as well. An
+        element that holds most of the page's text, and all of what stands in articles,
+        is no boilerplate whatever it is called: a form around the page, say.
+        """
+        above = self.parent
+        neutral = self.held > (MOST if articles else NEARLY_ALL) * total and self.articles == articles
+        self.boiler = bool(above and above.boiler) or (self.own_boiler and not neutral)
+        self.boiler |= self.tag == "header" and not (above and above.content) and not neutral
+        self.named_boiler = bool(above and above.named_boiler) or (self.own_named_boiler and not neutral)
+        self.named_content = self.own_named_content or bool(above and above.named_content)
+
+
+def place_all(found: list[Block]) -> None:
+    """Fills in the hints of every element that holds a block, each element once."""
+    seen: dict[int, Element] = {}
+    for b in found:
+        up = b.at
+        while up and id(up) not in seen:
+            seen[id(up)] = up
+            up = up.parent
+    elements = sorted(seen.values(), key=lambda e: e.depth)
+    for e in elements:
+        e.content = e.own_content or bool(e.parent and e.parent.content)
+    for b in found:
+        b.at.held += len(b.text)
+        b.at.articles += len(b.text) * b.at.content
+    for e in reversed(elements):
+        if e.parent:
+            e.parent.held += e.held
+            e.parent.articles += e.articles
+    if elements:
+        total, articles = elements[0].held, elements[0].articles
+        for e in elements:
+            e.place(total, articles)
+
 
 class Block:
     __slots__ = ("text", "at", "linked")
@@ -164,6 +207,7 @@ def blocks(page: str) -> list[Block]:
         if not m[3].rstrip().endswith("/") or tag in INLINE or tag in CLOSES_P:
             now = element
     end_block()
+    place_all(out)
     return out
 
 
@@ -263,49 +307,82 @@ def _apart(a: Element, b: Element) -> int:
 
 
 def minimum_cut(odds: np.ndarray, edges: list[tuple[int, int, float]]) -> list[bool]:
-    """Which nodes stay with the source, by shortest augmenting paths.
+    """Which nodes stay with the source, by maximum flow.
 
-    Positive odds are capacities from the source, negative ones to the sink.
+    Positive odds are capacities from the source, negative ones to the sink. Each phase
+    measures every node's steps to the sink once and then sends flow along shortest paths
+    only, leaving each edge behind once it is of no more use; the few phases that blocks
+    in page order need are each linear in the edges.
     """
     n = len(odds)
     source = [max(0.0, float(o)) for o in odds]
     sink = [max(0.0, -float(o)) for o in odds]
-    around: list[dict[int, float]] = [{} for _ in range(n)]
+    # Edge 2k goes from a to b, its other way is 2k + 1.
+    to: list[int] = []
+    room: list[float] = []
+    around: list[list[int]] = [[] for _ in range(n)]
     for a, b, c in edges:
-        around[a][b] = around[a].get(b, 0.0) + c
-        around[b][a] = around[b].get(a, 0.0) + c
+        around[a].append(len(to))
+        around[b].append(len(to) + 1)
+        to += (b, a)
+        room += (c, c)
     tiny = 1e-9
     while True:
-        came = [-2] * n
-        queue = deque()
-        for k in range(n):
-            if source[k] > tiny:
-                came[k] = -1
-                queue.append(k)
-        end = -1
+        steps = [-1] * n
+        queue = deque(k for k in range(n) if sink[k] > tiny)
+        for k in queue:
+            steps[k] = 0
         while queue:
             k = queue.popleft()
-            if sink[k] > tiny:
-                end = k
-                break
-            for j, c in around[k].items():
-                if c > tiny and came[j] == -2:
-                    came[j] = k
+            for e in around[k]:
+                j = to[e]
+                if steps[j] < 0 and room[e ^ 1] > tiny:
+                    steps[j] = steps[k] + 1
                     queue.append(j)
-        if end < 0:
-            return [c != -2 for c in came]
-        flow, k = sink[end], end
-        while came[k] >= 0:
-            flow = min(flow, around[came[k]][k])
-            k = came[k]
-        flow = min(flow, source[k])
-        source[k] -= flow
-        sink[end] -= flow
-        k = end
-        while came[k] >= 0:
-            around[came[k]][k] -= flow
-            around[k][came[k]] += flow
-            k = came[k]
+        starts = [k for k in range(n) if source[k] > tiny and steps[k] >= 0]
+        if not starts:
+            break
+        tried = [0] * n
+        for start in starts:
+            path: list[int] = []
+            k = start
+            while source[start] > tiny:
+                if sink[k] > tiny and steps[k] == 0:
+                    flow = min([source[start], sink[k], *(room[e] for e in path)])
+                    source[start] -= flow
+                    sink[k] -= flow
+                    for e in path:
+                        room[e] -= flow
+                        room[e ^ 1] += flow
+                    # Go on from the first edge that is full.
+                    full = next((i for i, e in enumerate(path) if room[e] <= tiny), len(path))
+                    if full < len(path):
+                        k = to[path[full] ^ 1]
+                        del path[full:]
+                    continue
+                while tried[k] < len(around[k]):
+                    e = around[k][tried[k]]
+                    if room[e] > tiny and steps[to[e]] == steps[k] - 1:
+                        break
+                    tried[k] += 1
+                if tried[k] < len(around[k]):
+                    path.append(around[k][tried[k]])
+                    k = to[path[-1]]
+                elif path:
+                    e = path.pop()
+                    k = to[e ^ 1]
+                    tried[k] += 1
+                else:
+                    break
+    kept = [c > tiny for c in source]
+    queue = deque(k for k in range(n) if kept[k])
+    while queue:
+        k = queue.popleft()
+        for e in around[k]:
+            if room[e] > tiny and not kept[to[e]]:
+                kept[to[e]] = True
+                queue.append(to[e])
+    return kept
 
 
 def main_text(page: str, weights: np.ndarray) -> str:
@@ -358,5 +435,6 @@ def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; null, empty and text-free pages give the empty text."""
     pages = read(spark, sf_dir, "pages")
     return extract(pages, train(pages))

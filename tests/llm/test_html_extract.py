@@ -1,6 +1,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -46,6 +47,41 @@ def test_very_long_page():
     assert extract.main_text(page, extract.PRIOR).count("paragraph") == 20_000
 
 
+ARTICLE = "".join(f"<div>Paragraph {k} of the text goes on, with some words, and ends here.</div>" for k in range(6))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form>{PAGE.split('<body>')[1].split('</body>')[0]}</form></body>",
+        f"<body><div class='no-footer'>{ARTICLE}</div></body>",
+        f"<body><form id='search'><nav><a href=/>Home</a></nav><article>{ARTICLE}</article></form><footer>Imprint</footer></body>",
+    ],
+)
+def test_a_name_around_the_whole_page_says_nothing(page):
+    found = extract.main_text(page, extract.PRIOR)
+    if "Head&amp;line" in page:
+        assert found == extract.main_text(PAGE, extract.PRIOR)
+    else:
+        assert found.count("Paragraph") == 6 and "Home" not in found and "Imprint" not in found
+
+
+def test_long_comments_do_not_become_the_article():
+    comments = "".join(f"<p>I think, as reader {k}, that all of this is wrong.</p>" for k in range(40))
+    page = f"<body><article>{ARTICLE}</article><section id='comments'>{comments}</section></body>"
+    found = extract.main_text(page, extract.PRIOR)
+    assert found.count("Paragraph") == 6 and "reader" not in found
+
+
+def test_long_mixed_and_deep_pages_take_linear_time():
+    mixed = "<p>Some words, in a paragraph, that go on for a while.</p><nav><a href=/>Home</a></nav>" * 5_000
+    deep = "<div>Some words, in a paragraph, that go on for a while." * 5_000
+    for page, count in ((mixed, 5_000), (deep, 5_000)):
+        begin = time.process_time()
+        assert extract.main_text(f"<body>{page}</body>", extract.PRIOR).count("paragraph") == count
+        assert time.process_time() - begin < 5
+
+
 def test_cut_is_minimal():
     chance = np.random.default_rng(8)
     for _ in range(60):
