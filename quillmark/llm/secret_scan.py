@@ -1,9 +1,12 @@
 """Secrets in texts: three patterns, and character Markov models for what they miss.
 
 Two first-order Markov models over ASCII characters, one of random strings and one of
-ordinary identifiers, score long tokens by the mean log-likelihood ratio of their
-character pairs. The random strings to learn from are the values that the patterns label;
-the ordinary ones are the words of documents without matches. Both are counted over all
+ordinary identifiers, score runs of letters and digits in long tokens by the mean
+log-likelihood ratio of their different character pairs. Names joined from short words by
+slashes, underscores and the like have no long run; one character repeated has one pair.
+The random strings to learn from are the values that the patterns label; the ordinary ones
+are the words and identifiers of documents without matches, those with long runs left out:
+these are what is judged, and may be unlabelled secrets. Both are counted over all
 documents; only pair counts, at most 128 x 128 for each model, reach the driver.
 
 Everything is column expressions. Positions count code points, ends are exclusive.
@@ -27,6 +30,11 @@ ASSIGN_VALUE = 12
 
 #: Tokens that the models judge.
 TOKEN = "[A-Za-z0-9+/_=-]{20,}"
+#: The runs in them that are scored, and how many different pairs a run needs.
+RUN = "[A-Za-z0-9]{16,}"
+DISTINCT = 8
+#: Weight of the second character's own frequency in the probability of a pair.
+BACK_OFF = 2.0
 #: Share of ordinary tokens that may score above the threshold while learning.
 FALSE_RATE = 0.0005
 
@@ -71,8 +79,10 @@ def _pairs(token: Column) -> Column:
 def train(docs: DataFrame) -> tuple[list[float], float]:
     """(log-likelihood ratio of each character pair, threshold of the mean ratio).
 
-    Without random strings or without ordinary words nothing can be told apart; the
-    threshold is then infinite and only the patterns count.
+    The threshold is a quantile of the ordinary words of eight characters and more, whose
+    means spread wider than those of the longer runs that are judged, and at least 0, where
+    both models are equally likely. Without random strings or without ordinary words nothing
+    can be told apart; the threshold is then infinite and only the patterns count.
     """
     rows = texts(docs).withColumn("base", base_spans(F.col("text")))
     # The value of an assignment follows the last separator or quote.
@@ -80,7 +90,7 @@ def train(docs: DataFrame) -> tuple[list[float], float]:
     random = rows.select(F.explode("base.hit").alias("hit")).select(F.lit(1).alias("y"), value.alias("token"))
     rest = F.filter(
         F.split("text", SPACES, -1),
-        lambda w: w.rlike("^[A-Za-z_]{4,}[.,]?$"),
+        lambda w: w.rlike("^[A-Za-z0-9+/_=-]{4,}[.,]?$") & ~w.rlike(RUN),
     )
     ordinary = rows.where(F.size("base") == 0).select(F.explode(rest).alias("token")).select(
         F.lit(0).alias("y"), F.regexp_replace("token", "[.,]$", "").alias("token")
@@ -93,10 +103,16 @@ def train(docs: DataFrame) -> tuple[list[float], float]:
         return [0.0] * 128 * 128, math.inf
 
     def logs(found: dict) -> list[float]:
-        first = [0.0] * 128
+        first, second = [0.0] * 128, [0.5] * 128
         for p, n in found.items():
             first[p // 128] += n
-        return [math.log((found.get(p, 0) + 0.5) / (first[p // 128] + 0.5 * 66)) for p in range(128 * 128)]
+            second[p % 128] += n
+        total = sum(second)
+        return [
+            math.log((found.get(128 * a + b, 0) + BACK_OFF * second[b] / total) / (first[a] + BACK_OFF))
+            for a in range(128)
+            for b in range(128)
+        ]
 
     ratio = [round(a - b, 5) for a, b in zip(logs(counts[1]), logs(counts[0]))]
     scored = tokens.where("y = 0 AND length(token) >= 8").select(mean_ratio(F.col("token"), ratio).alias("s"))
@@ -105,25 +121,36 @@ def train(docs: DataFrame) -> tuple[list[float], float]:
 
 
 def mean_ratio(token: Column, ratio: list[float]) -> Column:
-    """Mean log-likelihood ratio of the token's character pairs."""
+    """Mean log-likelihood ratio of the token's different character pairs."""
     table = F.split(F.lit(",".join(map(str, ratio))), ",").cast("array<double>")
-    total = F.aggregate(_pairs(token), F.lit(0.0), lambda a, p: a + F.get(table, p))
-    return total / (F.length(token) - 1)
+    sums = F.aggregate(
+        F.array_distinct(_pairs(token)),
+        F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n")),
+        lambda a, p: F.struct((a["total"] + F.get(table, p)).alias("total"), (a["n"] + 1).alias("n")),
+    )
+    return F.transform(F.array(sums), lambda s: s["total"] / s["n"])[0]
+
+
+def is_random(token: Column, ratio: list[float], threshold: float) -> Column:
+    """Whether a run of the token scores above the threshold and has enough pairs."""
+    runs = F.regexp_extract_all(token, F.lit(RUN), F.lit(0))
+    many = lambda r: F.size(F.array_distinct(_pairs(r))) >= DISTINCT
+    return F.exists(runs, lambda r: many(r) & (mean_ratio(r, ratio) > threshold))
 
 
 def find_secrets(docs: DataFrame, model: tuple[list[float], float] | None = None) -> DataFrame:
     """Adds ``base`` and ``found``, arrays of spans, to rows with doc_id and text.
 
-    Null and empty texts have no spans. Spans of the models never overlap base spans.
-    All other columns stay.
+    Null and empty texts have no spans. Spans of the models are those that reach beyond
+    the base span they overlap, if any. All other columns stay.
     """
     ratio, threshold = model or train(docs)
     rows = docs.withColumn("base", base_spans(F.coalesce("text", F.lit(""))))
     if math.isinf(threshold):
         return rows.withColumn("found", F.col("base"))
     tokens = _spans(F.coalesce("text", F.lit("")), TOKEN, 3)
-    free = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    added = F.filter(tokens, lambda t: free(t) & (mean_ratio(t["hit"], ratio) > threshold))
+    free = lambda t: ~F.exists("base", lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"]))
+    added = F.filter(tokens, lambda t: free(t) & is_random(t["hit"], ratio, threshold))
     return rows.withColumn("found", F.array_sort(F.concat("base", added)))
 
 
@@ -155,6 +182,7 @@ def redact(docs: DataFrame, model: tuple[list[float], float] | None = None, mask
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document; null and empty texts have none, repeated rows stay."""
     docs = texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     rows = find_secrets(docs)
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")

@@ -72,6 +72,42 @@ def test_models_find_random_strings_that_no_pattern_names(spark):
     assert found[1001] == ""
 
 
+NAMES = [
+    "https_configuration_manager_v2_final",
+    "usr/local/share/applications/2024",
+    "ISBN-978-3-16-148410-0-2020",
+    "A" * 28,
+    "get_user_account_information_service_2",
+]
+
+
+def test_names_are_left_and_keys_covered_whole(spark, sf):
+    model = secret_scan.train(read(spark, sf, "documents"))
+    key = "sk_live_0123456789abcdefGHIJKLMNOPQRSTUV"
+    rows = [(i, f"see {name} there") for i, name in enumerate(NAMES)] + [(100, f"key {key}.")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r.doc_id: r.text for r in secret_scan.redact(docs, model).collect()}
+    assert [out[i] for i in range(len(NAMES))] == [f"see {name} there" for name in NAMES]
+    assert out[100] == "key [SECRET]."
+
+
+def test_held_out_precision_and_recall(spark, sf):
+    """Random keys that no pattern names, among identifiers of words from the table."""
+    chance = __import__("random").Random(6)
+    docs = read(spark, sf, "documents")
+    words = sorted({w for r in docs.limit(300).collect() for w in (r.text or "").split() if w.isascii() and w.isalpha()})
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows = []
+    for i in range(400):
+        random = "".join(chance.choice(alphabet) for _ in range(chance.randint(20, 44)))
+        plain = chance.choice("_-/").join(chance.choice(words) for _ in range(6)) + str(chance.randint(0, 99))
+        rows.append((i, random if i % 2 else plain))
+    found = secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string"), secret_scan.train(docs))
+    hits = {r.doc_id for r in found.where(F.exists("found", lambda s: s["kind"] == 3)).collect()}
+    right = sum(i % 2 for i in hits)
+    assert right / 200 > 0.95 and right / len(hits) > 0.95
+
+
 def test_redaction_keeps_columns_and_text_around(spark):
     docs = edges.documents(spark)
     out = secret_scan.redact(docs, ([0.0] * 128 * 128, float("inf")))
