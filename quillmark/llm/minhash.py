@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm.common import small_batches, stage, texts
@@ -39,7 +39,11 @@ LIKELY = 76
 CELL, FIRST = 512, 1
 #: Pairs confirmed in one cell, about.
 PAIRS = 2048
-SIGNED = "doc_id bigint, n_shingles bigint, node binary, bands array<bigint>, coordinates binary"
+#: Holds the key of a row beside any columns of its own.
+_KEY = "__text_key"
+#: A character that stands in a word.
+WORD = "[^\\x20\\x09-\\x0D]"
+SIGNED = "doc_id bigint, text_key bigint, n_shingles bigint, node binary, bands array<bigint>, coordinates binary"
 #: About 10 MB in both generations.
 _CACHE = WordCache(lambda w: xxhash.xxh3_64_intdigest(w), 50_000)
 
@@ -88,6 +92,11 @@ def _band_keys(coordinates: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def text_key() -> Column:
+    """Tells rows of one id apart by their texts; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def signed(docs: DataFrame) -> DataFrame:
     """Set size, node (digest of the set) and band keys of each row.
 
@@ -102,6 +111,7 @@ def signed(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].astype("Int64"),
+                    "text_key": batch["text_key"],
                     "n_shingles": [len(s) for s in sets],
                     "node": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                     "bands": [_band_keys(x) if x is not None else [] for x in least],
@@ -109,7 +119,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    return texts(docs).mapInPandas(run, SIGNED)
+    return texts(docs).withColumn("text_key", text_key()).mapInPandas(run, SIGNED)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -221,9 +231,34 @@ def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, first: int |
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id and kept.
+    """One row per document: doc_id, n_shingles, component_id and kept (see ``grouped``)."""
+    return grouped(docs, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
 
-    A document without words, or without an id, is linked with nothing and kept. Repeated
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` but for near copies: of each group the row with the least id stays.
+
+    Rows are told apart by id and text, so a text that shares its id with a near copy stays.
+    Of rows that repeat both, or of one group under one id, one stays. Rows without an id
+    or without words are linked with nothing and stay. All columns are as they were.
+    """
+    rows = stage(grouped(docs, percent).where("node IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "text_key", "component"), "groups")
+    first = rows.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first")).select("first.*")
+    gone = rows.select("doc_id", "text_key").distinct().join(first, ["doc_id", "text_key"], "left_anti")
+    # Only keys of rows that go meet the texts.
+    keyed = docs.withColumn(_KEY, text_key())
+    left = keyed.join(gone.withColumnRenamed("text_key", _KEY), ["doc_id", _KEY], "left_anti")
+    repeated = rows.groupBy("doc_id", "text_key").count().where("count > 1")
+    if not repeated.isEmpty():
+        linkable = F.col("doc_id").isNotNull() & F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+        left = left.where(linkable).dropDuplicates(["doc_id", _KEY]).unionByName(left.where(~linkable))
+    return left.select(*docs.columns)
+
+
+def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept; text_key, node, component.
+
+    ``node`` is the digest of the document's set, ``component`` the group it is in. A document without words, or without an id, is linked with nothing and kept. Repeated
     rows share their node. An empty table stays empty. Other columns are ignored.
     """
     found = stage(signed(docs), "signed")
@@ -250,16 +285,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     # Only nodes with links need a join; the least id of a component is its name.
     members = nodes.select("node", "doc_id").join(labels, "node")
     least = members.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = members.join(least, "component").select("node", "component_id").unionByName(
-        ids.join(labels, "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))
+    named = members.join(least, "component").select("node", "component", "component_id").unionByName(
+        ids.join(labels, "node", "left_anti").select("node", F.col("node").alias("component"), F.col("doc_id").alias("component_id"))
     )
     out = found.drop("bands", "coordinates").join(named, "node", "left").withColumn(
         "component_id", F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
     )
-    return out.select(
-        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    )
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "text_key", "node", "component")
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents; texts without words are linked with nothing."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -77,3 +77,27 @@ def test_components(spark):
     found = {r.node: r.component for r in components.components(df).collect()}
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
     assert components.components(df.where("a < 0")).count() == 0
+
+
+def test_rows_go_by_id_and_text(spark):
+    """A text stays though its id is also that of a near copy; repeated rows leave one."""
+    copy = " ".join(f"w{j}" for j in range(40))
+    other, third = (" ".join(f"{c}{j}" for j in range(40)) for c in "ot")
+    rows = [
+        (1, copy, 0), (2, copy + " more", 0), (2, other, 0), (3, third, 0), (3, third, 1), (4, other + " x", 0),
+        (5, copy, 0), (5, None, 0), (5, "", 0), (6, " ", 0), (None, copy, 0), (None, copy, 0), (7, third, 0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, component int")
+    out = minhash.deduplicated(docs)
+    assert out.schema == docs.schema
+    found = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert found == sorted(
+        [(1, copy), (2, other), (3, third), (5, None), (5, ""), (6, " "), (None, copy), (None, copy)], key=str
+    )
+    assert minhash.deduplicated(edges.no_documents(spark)).count() == 0
+
+
+def test_one_row_of_a_group_under_one_id(spark):
+    copy = " ".join(f"w{j}" for j in range(40))
+    docs = spark.createDataFrame([(1, copy), (1, copy + " more"), (2, copy)], "doc_id bigint, text string")
+    assert [r.doc_id for r in minhash.deduplicated(docs).collect()] == [1]
