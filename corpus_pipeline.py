@@ -42,18 +42,9 @@ def harmless_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id.
-
-    Only ids of documents that go meet the texts. Of rows that repeat an id one stays.
-    """
+    """One document of each group of near-duplicates: the one with the least id."""
     small_batches(spark)
-    groups = stage(minhash.near_duplicates(docs), "groups")
-    gone = groups.where("NOT kept").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():
-        named = named.dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    return minhash.deduplicated(docs)
 
 
 def masked_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
