@@ -672,6 +672,11 @@ def oracle_sql() -> dict[str, str]:
             feats AS (SELECT doc_id, sentence_index, label, {each(lexical_raw)}, {each(punct_cols)} FROM wins)
             SELECT doc_id, sentence_index, CAST(label AS DOUBLE) AS label, {turns_matrix},
                    CAST({language_id('language')} AS DOUBLE) AS language_id FROM feats JOIN langs USING (doc_id)""",
+        "row_index": """SELECT l_orderkey, l_linenumber,
+            CAST(row_number() OVER (ORDER BY l_shipdate NULLS FIRST, l_orderkey, l_linenumber) - 1 AS BIGINT) AS row_index FROM lineitem""",
+        "batches_with_indices": "SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS place FROM documents",
+        "table_function": """SELECT source, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
+            FROM (SELECT source, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) GROUP BY source""",
         "apply_batches": f"SELECT doc_id, CAST({matches('text', '[A-Z]')} AS BIGINT) AS n_upper FROM documents",
         "author_profile": f"""WITH {profile_features()}
             SELECT language, label, count(*) AS sentences, {r6('avg(window_5_type_token_ratio)')} AS type_token_ratio,

@@ -18,7 +18,7 @@ from quillmark.functions.features import WindowCounts, punctuation, sentence_sta
 from quillmark.functions.hashing import row_hash
 from quillmark.functions.language import language_id
 from quillmark.operators import corpus, experts, kneser_ney, language_model, lm, meta, metrics, sampling, sentence_model
-from quillmark.operators.batches import apply_batches
+from quillmark.operators.batches import apply_batches, register_table_function, row_index
 from quillmark.operators.windows import (
     assemble_features,
     clean_documents,
@@ -298,6 +298,38 @@ def q_apply_batches(spark, sf):
     return apply_batches(_documents(spark, sf), shout, "doc_id bigint, n_upper bigint")
 
 
+def q_row_index(spark, sf):
+    """Position of each line item by ship date; line items of one day by order and line."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return row_index(lines, "l_shipdate", "l_orderkey", "l_linenumber").drop("l_shipdate")
+
+
+def q_batches_with_indices(spark, sf):
+    """Batch function that is told where its rows stand in the order of the document ids."""
+
+    def place(batch, index):
+        return batch.assign(place=index)[["doc_id", "place"]]
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id")
+    return apply_batches(docs, place, "doc_id bigint, place bigint", with_indices=True, order=["doc_id"])
+
+
+def q_table_function(spark, sf):
+    """Sources of documents with the lines of their texts, by a table function in SQL."""
+
+    def lines(text):
+        for k, line in enumerate((text or "").split("\n")):
+            yield k, len(line)
+
+    register_table_function(spark, "text_lines", lines, "line int, n_chars int")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return spark.sql(
+        "SELECT d.source, count(*) AS n_lines, CAST(sum(l.n_chars) AS BIGINT) AS n_chars "
+        "FROM {docs} d, LATERAL text_lines(d.text) l GROUP BY d.source",
+        docs=docs,
+    )
+
+
 def q_author_profile(spark, sf):
     """Flagship: mean features per language and label over all sentences."""
     rows = window_features(
