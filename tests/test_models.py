@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,10 +12,12 @@ from quillmark.config import (
     Settings,
     SplitSettings,
 )
+from quillmark.functions.hashing import row_hash
 from quillmark.operators import meta, tuning
 from quillmark.operators.experts import score_out_of_fold
 from quillmark.operators.windows import context_windows
 from quillmark.plans.pipeline import PHASES, PipelineRun, run_pipeline
+from quillmark.sources.staging import stage
 from tests.corpora import letters
 
 SETTINGS = Settings(
@@ -153,3 +157,22 @@ def test_registered_queries_use_the_default_settings(spark, sf, monkeypatch):
     assert settings == Settings()
     # The same input and settings go on in the same folder.
     assert queries._pipeline(spark, sf)[0] == path
+
+
+def test_folds_share_the_counts_of_a_window(spark, run, monkeypatch):
+    """The text of each window is worked on once, not once for every fold."""
+    from quillmark.operators import experts
+
+    made = []
+    monkeypatch.setattr(experts, "stage", lambda df, name, *a, **k: (made.append(name), stage(df, name, *a, **k))[1])
+    rows = run.table("sentences").where("split = 'train'")
+    scored = score_out_of_fold(rows, settings=SETTINGS.expert)
+    assert made.count("counts") == 3 and scored.count() == rows.count()
+    inside = rows.where(F.pmod(row_hash(["doc_id"], 42, "fold"), F.lit(2)) == 0)
+    outside = rows.join(inside.select("doc_id").distinct(), "doc_id", "left_anti")
+    one = replace(SETTINGS.expert, reg_params=SETTINGS.expert.reg_params[:1])
+    apart = experts.train_expert(outside, inside, "s3", "window_3", "label", one)
+    keys = ["doc_id", "sentence_index"]
+    wanted = experts.score_experts(inside, {"s3": apart.model}).select(*keys, F.col("prob_ai_s3").alias("p"))
+    both = scored.join(wanted, keys)
+    assert both.count() == inside.count() and both.where(F.abs(F.col("p") - F.col("prob_ai_s3")) > 1e-6).isEmpty()
