@@ -101,3 +101,19 @@ def test_no_shuffle_and_pruned_scan(spark, tmp_path):
     rows.write.parquet(path)
     plan = window_features(spark.read.parquet(path).select("doc_id", "text"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "other" not in plan and "Python" not in plan
+
+
+def test_a_sentence_is_measured_for_the_wanted_groups_alone(spark):
+    """Patterns that no group reads do not run, and none runs twice on a sentence."""
+    from quillmark.functions.features import POLYSYLLABLE, SYMBOL_RUN
+    from quillmark.operators.windows import window_features
+
+    docs = spark.createDataFrame([(1, "One two. Three, four & five! Six...")], "doc_id int, text string")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.maxPlanStringLength", str(1 << 24))
+    assert POLYSYLLABLE not in plan(window_features(docs, groups=("sentence_length",)))
+    whole = plan(window_features(docs))
+    assert POLYSYLLABLE in whole and whole.count(SYMBOL_RUN) == 1
+    every = window_features(docs).collect()
+    some = window_features(docs, groups=("sentence_length",)).collect()
+    assert [r.window_5_avg_sentence_length for r in some] == [r.window_5_avg_sentence_length for r in every]
