@@ -7,11 +7,11 @@ needs lie next to each other in memory.
 
 32 bands of 4 coordinates miss a pair at similarity 0.75 with a chance of about 5e-6.
 Documents of equal sets are one node. In each bucket all nodes are first compared with
-its least node. What is then still in different components of one bucket is compared by
-signature, in cells of a bounded size; first the likeliest pairs of each node are confirmed, then, among
-what is still apart, all pairs whose signatures agree in at least ``LIKELY`` of 128
-coordinates (at similarity 0.75 fewer agree with a chance of about 2e-5). So components that
-have a link are joined, and no pairs inside a component are made.
+its least node. What is then still in different components of one bucket is compared in
+cells of a bounded size: all pairs whose signatures agree in at least ``LIKELY`` of 128
+coordinates (at similarity 0.75 fewer agree with a chance of about 2e-5) are confirmed inside
+the cell, and it returns only links that join its components. So components that have a link
+are joined, and pairs are never rows, whether they are linked or not.
 Candidates are confirmed exactly: 100 * intersection >= 75 * union.
 """
 
@@ -35,8 +35,8 @@ PERCENT = 75
 BANDS, ROWS = 32, 4
 CIRCLE = 1 << 20
 LIKELY = 76
-#: Nodes of a bucket that meet in one cell, about, and pairs of a node in the first pass.
-CELL, FIRST = 512, 1
+#: Nodes of a block, about; two blocks meet in a cell.
+CELL = 512
 #: Pairs confirmed in one cell, about.
 PAIRS = 2048
 #: Holds the key of a row beside any columns of its own.
@@ -160,13 +160,11 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
     return cells.groupBy("cell").cogroup(there.groupBy("home")).applyInPandas(run, "a binary, b binary")
 
 
-def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, first: int | None) -> DataFrame:
-    """Distinct pairs (a, b) of nodes that share a bucket but no component, if likely similar.
+def cells(placed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """A stored table (node, component, band, cell, block) of the buckets that hold several components.
 
-    With ``first``, only so many of the likeliest pairs in a cell of each node outside the
-    cell's largest component. Buckets are
-    dealt in blocks, and each two blocks meet in a cell of their own, so no task holds a
-    whole bucket. A pair is made in the first band that it shares, so only once.
+    Buckets are dealt in blocks, and each two blocks meet in a cell of their own, so no task
+    holds a whole bucket.
     """
     label = F.coalesce("component", F.col("node"))
     labelled = placed.join(labels, "node", "left").withColumn("component", label)
@@ -178,56 +176,104 @@ def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, first: int |
     )
     block = F.pmod(F.xxhash64("node"), F.col("g")).cast("int")
     rows = labelled.join(mixed, ["band", "key"]).withColumn("block", block)
-    cells = rows.select(
-        "node", "component", "band", "key", "block", F.explode(F.expr("transform(sequence(0, g - 1), j -> struct(least(block, j) AS i, greatest(block, j) AS j))")).alias("cell")
-    ).select("node", "component", "band", F.xxhash64("band", "key", "cell").alias("cell"), "block")
-    cells = cells.join(nodes.select("node", "coordinates"), "node")
-    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cells.repartition(n, "cell", "band").sortWithinPartitions("cell", "band")
-
-    def compare(rows: pd.DataFrame) -> list[tuple[bytes, bytes]]:
-        if rows["component"].nunique() < 2:
-            return []
-        band, block = int(rows["band"].iloc[0]), rows["block"].to_numpy()
-        node, component = list(rows["node"]), pd.factorize(rows["component"])[0]
-        x = np.frombuffer(b"".join(rows["coordinates"]), np.int32).reshape(len(rows), -1)
-        two = block.min() != block.max()
-        largest = np.bincount(component).argmax()
-        out = []
-        for k in range(len(rows)):
-            if first is not None and component[k] == largest:
+    pairs = F.expr("transform(sequence(0, g - 1), j -> struct(least(block, j) AS i, greatest(block, j) AS j))")
+    dealt = rows.select("node", "component", "band", "key", "block", F.explode(pairs).alias("cell"))
+    return stage(dealt.select("node", "component", "band", F.xxhash64("band", "key", "cell").alias("cell"), "block"), "cells")
+
+
+class Cell:
+    """The rows of one cell: which of them may be similar to a row and are not in its component."""
+
+    def __init__(self, rows: pd.DataFrame, percent: int):
+        self.percent, self.band = percent, int(rows["band"].iloc[0])
+        self.node, self.size = list(rows["node"]), rows["n_shingles"].to_numpy("int64")
+        self.component, self.block = pd.factorize(rows["component"])[0], rows["block"].to_numpy()
+        self.two = self.block.min() != self.block.max()
+        self.x = np.frombuffer(b"".join(rows["coordinates"]), np.int32).reshape(len(rows), -1)
+
+    def likely(self, k: int) -> np.ndarray:
+        """A pair is likely in the first band that it shares alone."""
+        apart = self.component != self.component[k]
+        if self.two:
+            apart &= self.block != self.block[k]
+        least, most = np.minimum(self.size, self.size[k]), np.maximum(self.size, self.size[k])
+        others = np.flatnonzero(apart & (100 * least >= self.percent * most))
+        same = self.x[others] == self.x[k]
+        others, same = (x[same.sum(1) >= LIKELY] for x in (others, same))
+        return others[same.reshape(len(others), BANDS, ROWS).all(2).argmax(1) == self.band]
+
+    def links(self, sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+        """Links that join the components of the cell as all its links would, one less than these at most."""
+        at = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        begin = np.concatenate([[0], np.cumsum(self.size)])
+        own = [at[lo:hi] for lo, hi in zip(begin, begin[1:])]
+        held, out = np.zeros(len(at), bool), []
+        for k in range(len(own)):
+            others = self.likely(k)
+            others = others[others > k]
+            if not len(others):
                 continue
-            apart = component != component[k]
-            if two:
-                apart &= block != block[k]
-            others = np.flatnonzero(apart)
-            same = x[others] == x[k]
-            agree = same.sum(1)
-            others, same, agree = others[agree >= LIKELY], same[agree >= LIKELY], agree[agree >= LIKELY]
-            earliest = same.reshape(len(others), BANDS, ROWS).all(2).argmax(1) == band
-            others, agree = others[earliest], agree[earliest]
-            if first is None:
-                others = others[others > k]
-            elif len(others) > first:
-                others = others[np.argsort(-agree, kind="stable")[:first]]
-            out += [tuple(sorted((node[k], node[j]))) for j in others]
+            held[own[k]] = True
+            starts = np.cumsum(self.size[others]) - self.size[others]
+            both = np.add.reduceat(held[np.concatenate([own[j] for j in others])], starts, dtype="int64")
+            held[own[k]] = False
+            for j in others[100 * both >= self.percent * (self.size[k] + self.size[others] - both)]:
+                if self.component[j] != self.component[k]:
+                    out.append((self.node[k], self.node[j]))
+                    self.component[self.component == self.component[j]] = self.component[k]
         return out
 
+
+def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) of nodes that share a bucket but no component, enough to join what is linked.
+
+    Two steps over the same cells: by signature, which rows have a likely partner in their
+    cell; then these rows alone, with their full sets, are confirmed inside the cell. So a
+    cell returns at most a row for each of its own rows, however many pairs it compares.
+    """
+    dealt = cells(placed, nodes, labels)
+    known = nodes.select("node", "n_shingles", "coordinates")
+    columns = ["node", "component", "band", "cell", "block", "n_shingles", "coordinates"]
+
+    def partnered(rows: pd.DataFrame) -> pd.DataFrame:
+        if len(rows) < 2 or rows["component"].nunique() < 2:
+            return rows.iloc[:0]
+        cell = Cell(rows, percent)
+        return rows[[len(cell.likely(k)) > 0 for k in range(len(rows))]]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for batch in batches:
             held = batch if held is None else pd.concat([held, batch])
             ends = np.flatnonzero((np.diff(held["cell"]) != 0) | (np.diff(held["band"]) != 0)) + 1
-            out = []
-            for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends):
-                out += compare(held.iloc[lo:hi])
+            found = [partnered(held.iloc[lo:hi]) for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends)]
+            yield pd.concat([held.iloc[:0], *found]).drop(columns="coordinates")
             held = held.iloc[ends[-1] :] if len(ends) else held
-            yield pd.DataFrame(out, columns=["a", "b"])
         if held is not None and len(held):
-            yield pd.DataFrame(compare(held), columns=["a", "b"])
+            yield partnered(held).drop(columns="coordinates")
+
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = dealt.join(known, "node").select(*columns).repartition(n, "cell", "band").sortWithinPartitions("cell", "band")
+    kind = "node binary, component binary, band int, cell bigint, block int, n_shingles bigint"
+    wanted = stage(together.mapInPandas(run, kind), "partnered")
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in small_batches(batches):
+            _CACHE.turn()
+            sets = [shingles(x).tobytes() for x in batch["text"]]
+            own = [xxhash.xxh3_128_digest(x) == node for x, node in zip(sets, batch["node"])]
+            yield pd.DataFrame({"node": batch["node"], "shingles": sets})[own]
+
+    def confirm(rows: pd.DataFrame) -> pd.DataFrame:
+        # A document that comes twice brings its set twice.
+        rows = rows.drop_duplicates("node")
+        sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+        return pd.DataFrame(Cell(rows, percent).links(sets), columns=["a", "b"])
 
-    pairs = dealt.select("node", "component", "band", "cell", "block", "coordinates").mapInPandas(run, "a binary, b binary")
-    return pairs.distinct()
+    needed = nodes.select("node", "doc_id").join(wanted.select("node").distinct(), "node", "left_semi")
+    sets = texts(docs).join(needed, "doc_id").select("node", "text").mapInPandas(whole, "node binary, shingles binary")
+    full = wanted.join(nodes.select("node", "coordinates"), "node").join(sets, "node").select(*columns, "shingles")
+    return full.groupBy("cell", "band").applyInPandas(confirm, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -265,7 +311,10 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linkable = found.where("node IS NOT NULL AND doc_id IS NOT NULL")
     nodes = stage(
         linkable.groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("coordinates").alias("coordinates")
+            F.min("doc_id").alias("doc_id"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("bands").alias("bands"),
+            F.first("coordinates").alias("coordinates"),
         ),
         "nodes",
     )
@@ -276,11 +325,9 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     star = stage(placed.where("node != a").select("a", F.col("node").alias("b")).distinct(), "star")
     links = stage(confirmed(star, ids, docs, percent), "links")
     labels = components(links)
-    for first in (FIRST, None):
-        more = stage(confirmed(stage(across(placed, nodes, labels, first), "across"), ids, docs, percent), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links)
+    more = stage(across(placed, nodes, labels, docs, percent), "links")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
 
     # Only nodes with links need a join; the least id of a component is its name.
     members = nodes.select("node", "doc_id").join(labels, "node")

@@ -59,6 +59,32 @@ def test_many_near_copies_and_a_chain(spark):
     assert found[1011] == 1000
 
 
+@pytest.mark.parametrize("cell", [minhash.CELL, 24])
+def test_a_family_that_stays_unlinked_makes_no_pairs(spark, monkeypatch, cell):
+    """Each two share a base and few are linked: a row for each node and band at most."""
+    chance, rows = np.random.default_rng(3), []
+    for i in range(200):
+        words = [f"v{j}" for j in range(150)]
+        for at in chance.choice(150, 3, replace=False):
+            words[at] = f"n{i}_{at}"
+        rows.append((i, " ".join(words)))
+    sizes, kept = {}, minhash.stage
+
+    def counted(df, name):
+        out = kept(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stage", counted)
+    monkeypatch.setattr(minhash, "CELL", cell)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    assert found == {i: c for i, (_, c) in brute([{"doc_id": i, "text": t} for i, t in rows]).items()}
+    assert 1 < len(set(found.values())) < 200
+    blocks = -(-200 // cell)
+    assert max(sizes.values()) <= 200 * minhash.BANDS * blocks and sizes["links"] < 200
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(edges.no_documents(spark)).count() == 0
 
