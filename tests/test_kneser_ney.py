@@ -106,3 +106,22 @@ def test_empty_corpus_and_reload(spark, tmp_path):
     again = kn.KneserNey.load(spark, path)
     scored = lambda m: sorted(map(tuple, kn.window_perplexity(frame(spark, SCORED), m).collect()))
     assert scored(first) == scored(again)
+
+
+def test_trigrams_of_known_texts_are_one_row_a_shard(spark, monkeypatch):
+    """Scoring the training corpus stores a row for each different trigram of a shard, and no lookups."""
+    stored, kept = {}, kn.stage
+
+    def counted(df, name, *more):
+        out = kept(df, name, *more)
+        stored[name] = out.count()
+        return out
+
+    docs = frame(spark, TRAIN * 20).coalesce(1)
+    model = kn.train(docs)
+    monkeypatch.setattr(kn, "stage", counted)
+    rows = kn.sentence_log_probability(docs, model).collect()
+    assert sum(r.n_gram for r in rows) == 20 * sum(len(grams(s)) for t in TRAIN for s in sentences(t))
+    different = len({g for t in TRAIN for s in sentences(t) for g in grams(s)})
+    assert stored and max(stored.values()) == different
+    assert not [name for name in stored if name.startswith("looked-up")]
