@@ -161,7 +161,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
 
 
 def cells(placed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """A stored table (node, component, band, cell, block) of the buckets that hold several components.
+    """(node, component, band, cell, block, n_shingles, coordinates) of the buckets that hold several components.
 
     Buckets are dealt in blocks, and each two blocks meet in a cell of their own, so no task
     holds a whole bucket.
@@ -176,9 +176,12 @@ def cells(placed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     )
     block = F.pmod(F.xxhash64("node"), F.col("g")).cast("int")
     rows = labelled.join(mixed, ["band", "key"]).withColumn("block", block)
+    # Joined before rows go to several cells, so a join has a row for each node and band.
+    rows = rows.join(nodes.select("node", "n_shingles", "coordinates"), "node")
     pairs = F.expr("transform(sequence(0, g - 1), j -> struct(least(block, j) AS i, greatest(block, j) AS j))")
-    dealt = rows.select("node", "component", "band", "key", "block", F.explode(pairs).alias("cell"))
-    return stage(dealt.select("node", "component", "band", F.xxhash64("band", "key", "cell").alias("cell"), "block"), "cells")
+    own = ["block", "n_shingles", "coordinates"]
+    dealt = rows.select("node", "component", "band", "key", *own, F.explode(pairs).alias("cell"))
+    return dealt.select("node", "component", "band", F.xxhash64("band", "key", "cell").alias("cell"), *own)
 
 
 class Cell:
@@ -231,9 +234,6 @@ def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFra
     cell; then these rows alone, with their full sets, are confirmed inside the cell. So a
     cell returns at most a row for each of its own rows, however many pairs it compares.
     """
-    dealt = cells(placed, nodes, labels)
-    known = nodes.select("node", "n_shingles", "coordinates")
-    columns = ["node", "component", "band", "cell", "block", "n_shingles", "coordinates"]
 
     def partnered(rows: pd.DataFrame) -> pd.DataFrame:
         if len(rows) < 2 or rows["component"].nunique() < 2:
@@ -247,14 +247,14 @@ def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFra
             held = batch if held is None else pd.concat([held, batch])
             ends = np.flatnonzero((np.diff(held["cell"]) != 0) | (np.diff(held["band"]) != 0)) + 1
             found = [partnered(held.iloc[lo:hi]) for lo, hi in zip(np.concatenate([[0], ends[:-1]]), ends)]
-            yield pd.concat([held.iloc[:0], *found]).drop(columns="coordinates")
+            yield pd.concat([held.iloc[:0], *found])
             held = held.iloc[ends[-1] :] if len(ends) else held
         if held is not None and len(held):
-            yield partnered(held).drop(columns="coordinates")
+            yield partnered(held)
 
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    together = dealt.join(known, "node").select(*columns).repartition(n, "cell", "band").sortWithinPartitions("cell", "band")
-    kind = "node binary, component binary, band int, cell bigint, block int, n_shingles bigint"
+    together = cells(placed, nodes, labels).repartition(n, "cell", "band").sortWithinPartitions("cell", "band")
+    kind = "node binary, component binary, band int, cell bigint, block int, n_shingles bigint, coordinates binary"
     wanted = stage(together.mapInPandas(run, kind), "partnered")
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -272,8 +272,7 @@ def across(placed: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFra
 
     needed = nodes.select("node", "doc_id").join(wanted.select("node").distinct(), "node", "left_semi")
     sets = texts(docs).join(needed, "doc_id").select("node", "text").mapInPandas(whole, "node binary, shingles binary")
-    full = wanted.join(nodes.select("node", "coordinates"), "node").join(sets, "node").select(*columns, "shingles")
-    return full.groupBy("cell", "band").applyInPandas(confirm, "a binary, b binary")
+    return wanted.join(sets, "node").groupBy("cell", "band").applyInPandas(confirm, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
