@@ -176,3 +176,18 @@ def test_folds_share_the_counts_of_a_window(spark, run, monkeypatch):
     wanted = experts.score_experts(inside, {"s3": apart.model}).select(*keys, F.col("prob_ai_s3").alias("p"))
     both = scored.join(wanted, keys)
     assert both.count() == inside.count() and both.where(F.abs(F.col("p") - F.col("prob_ai_s3")) > 1e-6).isEmpty()
+
+
+def test_experts_and_folds_share_stored_counts(spark, run, monkeypatch):
+    """Fits and scores of all folds read the counts that were stored; no text is worked on again."""
+    from quillmark.operators import experts
+
+    keys = ["doc_id", "sentence_index"]
+    rows = run.table("sentences").where("split = 'train'")
+    counts = experts.fold_counts(rows, keys, settings=SETTINGS.expert)
+    wanted = score_out_of_fold(rows, settings=SETTINGS.expert).select(*keys, "fold", F.col("prob_ai_s5").alias("p"))
+    monkeypatch.setattr(experts, "stage", lambda *_, **__: pytest.fail("counted again"))
+    scored = score_out_of_fold(rows, settings=SETTINGS.expert, counts=counts)
+    both = scored.join(wanted, [*keys, "fold"])
+    assert both.count() == rows.count() == scored.count()
+    assert both.where(F.abs(F.col("p") - F.col("prob_ai_s5")) > 1e-6).isEmpty()
