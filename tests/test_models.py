@@ -191,3 +191,18 @@ def test_experts_and_folds_share_stored_counts(spark, run, monkeypatch):
     both = scored.join(wanted, [*keys, "fold"])
     assert both.count() == rows.count() == scored.count()
     assert both.where(F.abs(F.col("p") - F.col("prob_ai_s5")) > 1e-6).isEmpty()
+
+
+def test_bigrams_are_counted_beside_the_experts(spark, corpus, tmp_path, monkeypatch):
+    """They are noted before the features begin, and a run that goes on finds them."""
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(PipelineRun, "_features", stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        run_pipeline(corpus, str(tmp_path / "run"), SETTINGS)
+    half = PipelineRun(spark, str(tmp_path / "run"), SETTINGS)
+    assert {"experts", "numbered_bigrams"} <= set(half.manifest.completed()) and "features" not in half.manifest.completed()
+    monkeypatch.setattr("quillmark.operators.lm.train_bigrams", stopped)
+    assert half._bigrams().vocabulary > 0
