@@ -199,7 +199,9 @@ def sentence_log_probability(
     """
     table = shards(df, key, text, max_sentences, MARKS) if table is None else table
     known = numbered(table, model.spelled)
-    wanted = entries(known, trigrams, ["a", "b", "c"]).drop("n").join(known_trigrams(model), ["a", "b", "c"], "left")
+    # Stored by itself: what its joins have shuffled is gone before the trigrams of the shards are.
+    there = stage(known_trigrams(model), "trigrams-known")
+    wanted = entries(known, trigrams, ["a", "b", "c"]).drop("n").join(there, ["a", "b", "c"], "left")
     # Numbers are needed only where no answer was found.
     open_ = [F.when(F.col("log_p").isNull(), F.col(k)).alias(k) for k in "abc"]
     wanted = stage(wanted.select("shard", "place", *open_, "log_p"), "trigrams-answers")
