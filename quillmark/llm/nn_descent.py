@@ -4,9 +4,9 @@ Every vector keeps its ``K`` best known neighbours. The graph starts from vector
 next to each other in the order of random sign codes. In each round the neighbours of a
 vector, in both directions, are compared with one another, since neighbours of neighbours
 are likely neighbours; the best of what is found replaces worse entries. Rounds end when
-hardly anything changes. A vector whose list is full of links is saturated: its list is
-then enlarged through the links of its links until nothing new is found, without a bound.
-Only links at or above the threshold in double precision are kept.
+hardly anything changes. Only links at or above the threshold in double precision are kept.
+Lists are bounded, links are not: all members of a group of linked vectors are compared with
+one another, in blocks. Their links are counted inside the tasks and never become rows.
 
 Recall is audited: ``AUDIT`` vectors, chosen by hash, are compared with all vectors in
 blocks. The recall of each sampled vector counts once, and that of a group of linked ones
@@ -44,6 +44,8 @@ ATTEMPTS, MOST_K = 6, 32
 ORDERED = 20_000
 #: Rows of neighbours that one task holds at a time in a round.
 CHUNK = 20_000
+#: Members of a group in a block, and rows of a block that are compared at a time.
+BLOCK, STRIPE = 8192, 512
 
 
 def unit_nodes(vectors: DataFrame, unusable: bool = False) -> DataFrame:
@@ -239,40 +241,90 @@ def descend(nodes: DataFrame, k: int, n_codes: int, bits: int, rounds: int, seed
     return graph
 
 
-def enlarged(links: DataFrame, nodes: DataFrame, saturated: DataFrame, threshold: float, rounds: int = 30, fresh: DataFrame | None = None) -> DataFrame:
-    """All links (a < b, cosine) after following links of links from saturated nodes.
+def tiles(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(component, i, j, block, node, n, unit): the members of each group once for each pair of its blocks i <= j.
+
+    A node's block follows from its hash; a group has as many as keep them at about ``BLOCK`` nodes.
+    """
+    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = groups.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = placed.join(nodes.select("node", "n", "unit"), "node").select("component", "block", "node", "n", "unit", other)
+    return pairs.select(
+        "component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "unit"
+    )
 
-    Links of ``fresh`` are followed first, all if it is not given.
 
-    Only pairs met for the first time are compared, and a pair found in one round is
-    followed in the next, from a saturated node on; so lists grow to their true length.
+def group_links(groups: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(node, links, others): linked nodes of each node, and how many vectors they stand for.
+
+    Every two members of a group (node, component) are compared, block by block; a task holds
+    one pair of blocks, and of the pairs only their counts become rows.
     """
-    known = stage(links, "links")
-    tried, frontier = known.select("a", "b"), known if fresh is None else fresh
-    for _ in range(rounds):
-        step = _both(frontier).join(saturated, "a", "left_semi")
-        ahead = _both(known).withColumnsRenamed({"a": "m", "b": "c"})
-        pairs = (
-            step.join(ahead, step["b"] == ahead["m"])
-            .where("a != c")
-            .select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b"))
-            .distinct()
-            .join(tried, ["a", "b"], "left_anti")
-        )
-        seen = stage(measured(pairs, nodes), "tried")
-        frontier = seen.where(F.col("cosine") >= threshold)
-        if frontier.isEmpty():
-            return known
-        known = known.unionByName(frontier)
-        tried = tried.unionByName(seen.select("a", "b"))
-    raise RuntimeError(f"links of links were still found after {rounds} rounds")
+    keys = ["component", "i", "j"]
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = tiles(groups, nodes).repartition(n, *keys).sortWithinPartitions(*keys, "block")
+
+    def linked(rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.frombuffer(b"".join(rows["unit"])).reshape(len(rows), -1)
+        copies, block = rows["n"].to_numpy(), rows["block"].to_numpy()
+        links, others = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        # Two blocks are compared with each other, a single one with itself.
+        first = int(np.searchsorted(block, block[0], "right"))
+        alone = rows["i"].iloc[0] == rows["j"].iloc[0]
+        right = slice(0 if alone else first, len(rows))
+        for lo in range(0, first, STRIPE):
+            left = slice(lo, min(lo + STRIPE, first))
+            close = x[left] @ x[right].T >= threshold
+            if alone:
+                close[np.arange(left.stop - lo), np.arange(lo, left.stop)] = False
+            links[left] += close.sum(axis=1)
+            others[left] += close @ copies[right]
+            if not alone:
+                links[right] += close.sum(axis=0)
+                others[right] += copies[left] @ close
+        return pd.DataFrame({"node": rows["node"].to_numpy(), "links": links, "others": others})
+
+    def counted(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for _, one in rows.groupby(keys, sort=False):
+            # The other block may be without rows for a group this small.
+            if one["i"].iloc[0] == one["j"].iloc[0] or one["block"].iloc[0] != one["block"].iloc[-1]:
+                yield linked(one)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Rows arrive ordered by tile; the last one of a chunk waits for the next chunk.
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            held.append(batch)
+            last = batch[keys].iloc[-1]
+            if (held[0][keys].iloc[0] == last).all():
+                continue
+            rows = pd.concat(held)
+            open_ = (rows[keys] == last).all(axis=1)
+            held = [rows[open_]]
+            found = list(counted(rows[~open_]))
+            if found:
+                yield pd.concat(found)
+        if held:
+            yield from counted(pd.concat(held))
+
+    found = dealt.mapInPandas(run, "node bigint, links bigint, others bigint")
+    return found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
 
 
 def audit(links: DataFrame, nodes: DataFrame, threshold: float, n: int = AUDIT) -> float:
+    """The recall of listed links (a < b); see ``audited``."""
+    return audited(_both(links).groupBy("a").agg(F.count("*").alias("n")), nodes, threshold, n)
+
+
+def audited(degrees: DataFrame, nodes: DataFrame, threshold: float, n: int = AUDIT) -> float:
     """Mean share of the true links of sampled nodes that were found; 1 if there are none.
 
-    Sampled nodes that link with one another count once, by their mean. At most n sampled
-    vectors travel to the tasks; every task counts the links of its own rows.
+    ``degrees`` (a, n) tells how many were found. Sampled nodes that link with one another
+    count once, by their mean. At most n sampled vectors travel to the tasks; every task
+    counts the links of its own rows.
     """
     asked = nodes.orderBy(F.xxhash64("node"), "node").limit(n).select("node", "unit").collect()
     by_size: dict[int, list] = {}
@@ -303,8 +355,7 @@ def audit(links: DataFrame, nodes: DataFrame, threshold: float, n: int = AUDIT)
     if not true:
         return 1.0
     sampled = F.broadcast(nodes.sparkSession.createDataFrame([(a,) for a in true], "a bigint"))
-    degrees = _both(links).join(sampled, "a", "left_semi").groupBy("a").agg(F.count("*").alias("n"))
-    found = {r.a: r.n for r in degrees.collect()}
+    found = {r.a: r.n for r in degrees.join(sampled, "a", "left_semi").collect()}
     means = []
     for ids, x in matrix.values():
         linked = np.array([a in true for a in ids.tolist()])
@@ -340,32 +391,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     for attempt in range(ATTEMPTS):
         graph = descend(nodes, k, n_codes, bits, ROUNDS, 11 + attempt)
         close = graph.where(F.col("cosine") >= threshold)
-        saturated = stage(close.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= 2).select("a"), "saturated")
-        found = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cosine")
-        fresh = None
-        if links is not None:
-            # Links followed in an attempt before need not be followed again.
-            lists = saturated.join(followed, "a", "left_anti")
-            grown = _both(links).join(lists, "a").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            fresh = stage(found.dropDuplicates(["a", "b"]).join(links, ["a", "b"], "left_anti").unionByName(links.join(grown, ["a", "b"], "left_semi")), "fresh")
-            saturated = saturated.unionByName(followed).distinct()
-            found = found.unionByName(links)
-        followed = stage(saturated, "saturated")
-        links = stage(enlarged(found.dropDuplicates(["a", "b"]), nodes, followed, threshold, fresh=fresh), "links")
-        recall = audit(links, nodes, threshold)
+        found = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        links = stage((found if links is None else found.unionByName(links)).distinct(), "links")
+        groups = stage(components(links), "groups")
+        counts = stage(group_links(groups, nodes, threshold), "counts")
+        recall = audited(counts.select(F.col("node").alias("a"), F.col("links").alias("n")), nodes, threshold)
         if recall >= RECALL:
             break
         k, n_codes = min(MOST_K, 2 * k), 2 * n_codes
     else:
         raise RuntimeError(f"mean recall of sampled vectors stays at {recall:.3f}, below {RECALL}")
-    copies = nodes.select(F.col("node").alias("b"), "n")
-    ahead = _both(links).join(copies, "b").groupBy("a").agg(F.sum("n").alias("others"))
-    labels = components(links)
-    members = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = members.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     info = (
         members.join(least, "component")
-        .join(ahead.withColumnRenamed("a", "node"), "node", "left")
+        .join(counts.select("node", "others"), "node", "left")
         .select("node", "component_id", (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("n_links"))
     )
     ids = usable.select("vec_id", "node").join(info, "node").select("vec_id", "component_id", "n_links")

@@ -118,3 +118,23 @@ def test_an_id_with_a_usable_and_an_unusable_vector_keeps_both_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, None), (2, [0.0, 1.0])], "vec_id bigint, embedding array<float>")
     found = nn_descent.near_duplicates(df).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == [(1, 0, 1), (1, 0, 1), (2, 0, 2)]
+
+
+@pytest.mark.parametrize("block", [7, 40, 1000])
+def test_links_of_groups_are_counted_across_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(nn_descent, "BLOCK", block)
+    monkeypatch.setattr(nn_descent, "STRIPE", 5)
+    chance = np.random.default_rng(5)
+    sizes = [90, 12, 2, 2, 3]
+    x = np.concatenate([chance.normal(size=(1, 16)) + 0.33 * chance.normal(size=(s, 16)) for s in sizes])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    copies = chance.integers(1, 4, len(x))
+    rows = [(k, int(copies[k]), x[k].tobytes()) for k in range(len(x))]
+    nodes = spark.createDataFrame(rows, "node bigint, n bigint, unit binary")
+    groups = spark.createDataFrame([(k, int(g)) for k, g in enumerate(group)], "node bigint, component bigint")
+    close = (x @ x.T >= 0.9) & (group[:, None] == group) & ~np.eye(len(x), dtype=bool)
+    assert 0 < close[:90, :90].sum() < 90 * 89
+    found = {r.node: (r.links, r.others) for r in nn_descent.group_links(groups, nodes, 0.9).collect()}
+    assert found == {k: (int(close[k].sum()), int(close[k] @ copies)) for k in found}
+    assert all(k in found for k in range(len(x)) if close[k].any())
