@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from quillmark.operators.lm import BigramModel, train_bigrams, window_perplexity
+from quillmark.operators.lm import BigramModel, sentence_log_probability, train_bigrams, window_perplexity
 from quillmark.operators.skew import balanced_lookup, hot_keys
 
 TRAIN = ["the cat sat. the cat ran! the dog sat.", "a cat. one", "of the of the of the of the"]
@@ -94,3 +94,11 @@ def test_balanced_lookup_spreads_hot_and_null_keys(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_answers_are_stored_before_the_shards_are_shuffled(spark):
+    """Only the shards and the stored answers meet in the last plan; no lookup of pairs is left in it."""
+    docs = spark.createDataFrame([(1, "A b c. B c."), (2, "C a. A b."), (3, None)], "doc_id bigint, text string")
+    rows = sentence_log_probability(docs, train_bigrams(docs))
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.doc_id: r.n_word for r in rows.where("sentence_index = 0").collect()} == {1: 3, 2: 2, 3: 0}
